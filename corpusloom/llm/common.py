@@ -71,54 +71,93 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _power_tables(size: int, cache: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
+    """Powers of an odd number modulo 2**64 and their inverses."""
+    if cache.get("size", -1) < size:
+        base = 0x9E3779B97F4A7C15
+        power = np.full(size + 1, base, np.uint64)
+        inverse = np.full(size + 1, pow(base, -1, 1 << 64), np.uint64)
+        power[0] = inverse[0] = 1
+        cache.update(size=size, tables=(np.cumprod(power, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)))
+    power, inverse = cache["tables"]
+    return power, inverse
+
+
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_WORDBYTE = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
+
+
 class Words:
-    """Word hashes of a batch of texts, flat, with offsets per text."""
+    """Word hashes of a batch of texts, flat, with their owners and places.
+
+    Words are maximal runs of letters and digits, ignoring case.  Nothing loops
+    over words: runs are found in the UTF-8 buffer and hashed as differences of
+    one cumulative polynomial over it.
+    """
 
     def __init__(self, texts: pa.Array) -> None:
-        import pandas as pd
-
-        texts = pc.fill_null(texts, "")
-        split = pc.split_pattern_regex(pc.utf8_lower(texts), r"[^\p{L}\p{N}]+")
-        if isinstance(split, pa.ChunkedArray):
-            split = split.combine_chunks()
-        flat = split.flatten()
-        lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(len(texts)), lengths)
-        coded = flat.dictionary_encode()
-        names = coded.dictionary.to_numpy(zero_copy_only=False)
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        hashes = pd.util.hash_array(names, categorize=False) if len(names) else np.zeros(0, np.uint64)
-        real = np.array([x != "" for x in names], dtype=bool)
-        keep = real[codes] if len(codes) else np.zeros(0, bool)
-        self.codes = codes[keep]
-        self.names = names
-        self.owner = owner[keep]
-        self.hash = hashes[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
-        self.count = np.bincount(self.owner, minlength=len(texts))
-        self.offset = np.concatenate([[0], np.cumsum(self.count)])
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+        plain = pc.string_is_ascii(texts)
+        if not pc.all(plain).as_py():
+            # Multi-byte characters that are neither letters nor digits become blanks; the others count as word bytes.
+            texts = pc.if_else(plain, texts, pc.replace_substring_regex(pc.if_else(plain, "", texts), r"[^\x00-\x7F\p{L}\p{N}]", " "))
+        self.texts = len(texts)
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None and len(ends) > 1 else np.zeros(0, np.uint8)
+        ends = ends - ends[0]
+        word = _WORDBYTE[raw]
+        first = np.zeros(len(raw) + 1, bool)
+        first[ends] = True
+        before = np.r_[False, word[:-1]] if len(raw) else word
+        after = np.r_[word[1:], False] if len(raw) else word
+        start = np.flatnonzero(word & (~before | first[:-1]))
+        stop = np.flatnonzero(word & (~after | first[1:])) + 1
+        power, inverse = _power_tables(max(len(raw), 1 << 20))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * power[: len(raw)], dtype=np.uint64)])
+        self.hash = mix64((total[stop] - total[start]) * inverse[start] + (stop - start).astype(np.uint64))
+        self.raw, self.start, self.stop = raw, start, stop
+        self.offset = np.searchsorted(start, ends)
+        self.count = np.diff(self.offset)
+        self.owner = np.repeat(np.arange(self.texts), self.count)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, owner and first word's place of every run of ``n`` words."""
         size = len(self.hash) - n + 1
         if size <= 0:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        acc = np.zeros(size, np.uint64)
-        for k in range(n):
-            acc = mix64(acc * np.uint64(0x9E3779B97F4A7C15) + self.hash[k : k + size] + np.uint64(k + 1))
+        acc = self.hash[:size].copy()
+        for k in range(1, n):
+            acc = acc * np.uint64(0x9E3779B97F4A7C15) + (self.hash[k : k + size] ^ (acc >> np.uint64(29)))
         at = np.flatnonzero(self.owner[:size] == self.owner[n - 1 :])
-        return acc[at], self.owner[at], at
+        return mix64(acc[at]), self.owner[at], at
+
+    def text(self, first: int, last: int) -> str:
+        """The words from place ``first`` to before ``last``, in lower case, joined by blanks."""
+        return " ".join(self.raw[self.start[i] : self.stop[i]].tobytes().decode("utf-8", "replace") for i in range(first, last))
+
+
+#: Texts per portion and bits of a shingle's hash; together they fill 64 bits.
+_PORTION_BITS, _GRAM_BITS = 14, 50
 
 
 def shingle_sets(texts: pa.Array, n: int, least_words: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, sorted within it: ``(hash, owner)``."""
-    words = Words(texts)
-    gram, owner, _ = words.grams(n)
-    if least_words:
-        keep = words.count[owner] >= least_words
-        gram, owner = gram[keep], owner[keep]
-    order = np.lexsort((gram, owner))
-    gram, owner = gram[order], owner[order]
-    if len(gram):
-        first = np.r_[True, (owner[1:] != owner[:-1]) | (gram[1:] != gram[:-1])]
-        gram, owner = gram[first], owner[first]
-    return gram, owner
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    grams, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for s in range(0, len(texts), 1 << _PORTION_BITS):
+        words = Words(texts.slice(s, 1 << _PORTION_BITS))
+        gram, owner, _ = words.grams(n)
+        if least_words:
+            keep = words.count[owner] >= least_words
+            gram, owner = gram[keep], owner[keep]
+        both = (owner.astype(np.uint64) << np.uint64(_GRAM_BITS)) | (gram >> np.uint64(64 - _GRAM_BITS))
+        both = np.sort(both)
+        if len(both):
+            both = both[np.r_[True, both[1:] != both[:-1]]]
+        grams.append(both << np.uint64(64 - _GRAM_BITS))
+        owners.append((both >> np.uint64(_GRAM_BITS)).astype(np.int64) + s)
+    return np.concatenate(grams), np.concatenate(owners)

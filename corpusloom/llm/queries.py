@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import contributor_cap, golden_record, link_groups
+from corpusloom.llm import contributor_cap, golden_record, link_groups, near_pairs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": near_pairs.alike_bodies,
     "p2_found": contributor_cap.skills_beyond_share,
     "p4_found": golden_record.survivors,
     "p4_voted_record": golden_record.voted_record,
