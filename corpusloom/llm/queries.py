@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import contributor_cap, eval_leaks, golden_record, link_groups, near_pairs
+from corpusloom.llm import container_fill, contributor_cap, eval_leaks, golden_record, link_groups, near_pairs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": near_pairs.alike_bodies,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": golden_record.survivors,
     "p4_voted_record": golden_record.voted_record,
     "p5_found": link_groups.skill_groups,
+    "p6_containers": container_fill.document_containers,
     "p7_found": eval_leaks.leaked_items,
     "p7_leak_report": eval_leaks.leak_report,
 }
