@@ -83,6 +83,7 @@ def _power_tables(size: int, cache: dict = {}) -> tuple[np.ndarray, np.ndarray]:
     return power, inverse
 
 
+_CHUNK = 1 << 20
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _WORDBYTE = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
 
@@ -115,9 +116,20 @@ class Words:
         after = np.r_[word[1:], False] if len(raw) else word
         start = np.flatnonzero(word & (~before | first[:-1]))
         stop = np.flatnonzero(word & (~after | first[1:])) + 1
-        power, inverse = _power_tables(max(len(raw), 1 << 20))
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * power[: len(raw)], dtype=np.uint64)])
-        self.hash = mix64((total[stop] - total[start]) * inverse[start] + (stop - start).astype(np.uint64))
+        power, inverse = _power_tables(_CHUNK)
+        self.hash = np.zeros(len(start), np.uint64)
+        done = 0
+        while done < len(start):
+            # Eight-byte values only for a few MB of text at a time, however long a text is.
+            base = start[done]
+            upto = max(done + 1, int(np.searchsorted(stop, base + _CHUNK, side="right")))
+            part = raw[base : stop[upto - 1]]
+            if len(part) > _CHUNK:
+                power, inverse = _power_tables(len(part))
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[part] * power[: len(part)], dtype=np.uint64)])
+            low, high = start[done:upto] - base, stop[done:upto] - base
+            self.hash[done:upto] = mix64((total[high] - total[low]) * inverse[low] + (high - low).astype(np.uint64))
+            done = upto
         self.raw, self.start, self.stop = raw, start, stop
         self.offset = np.searchsorted(start, ends)
         self.count = np.diff(self.offset)

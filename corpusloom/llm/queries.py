@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import container_fill, contributor_cap, eval_leaks, golden_record, link_groups, near_pairs, residue
+from corpusloom.llm import container_fill, contributor_cap, cut_texts, eval_leaks, golden_record, link_groups, near_pairs, residue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": near_pairs.alike_bodies,
@@ -18,4 +18,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_containers": container_fill.document_containers,
     "p7_found": eval_leaks.leaked_items,
     "p7_leak_report": eval_leaks.leak_report,
+    "p8_found": cut_texts.cut_documents,
+    "p8_cut_rates": cut_texts.cut_rates,
 }
