@@ -1,4 +1,9 @@
 """All queries of the core library and their SQL."""
 
+from corpusloom.plans import corpus_queries
+
 QUERIES: dict = {}
 SQL: dict = {}
+for _part in (corpus_queries,):
+    QUERIES |= _part.QUERIES
+    SQL |= _part.SQL
