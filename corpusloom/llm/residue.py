@@ -8,7 +8,8 @@ text holds at all, and only in texts that hold enough of one compares their
 passage windows (sentences and lines) with the exemplars: a window is residue
 when the share of its TF-IDF weight that a residue exemplar contains is high, and
 higher than what any content exemplar contains.  Marks inside code are content;
-marks in prose are a word of their own.
+marks in prose are a word of their own, and each is a short window with its
+neighbours besides: it is residue in any sentence that does not explain it.
 """
 
 from __future__ import annotations
@@ -144,6 +145,25 @@ veuillez activer javascript pour afficher cette page
 service temporairement indisponible
 veuillez réessayer plus tard
 votre session a expiré
+404 file not found
+410 gone
+429 too many requests
+400 bad request
+this page does not exist
+this page isn t available
+this page is no longer available
+the requested resource could not be found
+the server encountered an internal error
+the connection was reset
+this site can t be reached
+the connection has timed out
+dns probe finished nxdomain
+you have been rate limited
+access to this resource is forbidden
+access to this page has been denied
+enable javascript and cookies to continue
+press and hold to confirm you are a human
+performing security verification
 """.strip().split("\n")
 
 #: Labelled exemplars of residue: template marks, instructions to the author, filler.
@@ -178,6 +198,22 @@ replace this text
 replace this with a short description
 write a short description here
 enter a description
+enter your description in this field
+enter your text here
+fill in this field
+fill in this section
+fill out this section
+describe your skill here
+describe what this skill does
+explain what this skill does here
+provide a description
+provide a short summary here
+add details here
+add examples here
+list the steps here
+more information to follow
+details to follow
+lorem ipsum
 add two or three sentences about here
 one sentence on what this skill does
 content for the coming soon
@@ -257,6 +293,59 @@ detects pages that require javascript
 warns about placeholder text left in a document
 """.strip().split("\n")
 
+#: Words that explain a mark where all of them stand close to it.
+EXPLAINED = [
+    frozenset(t.split())
+    for t in """
+replace with
+replaces with
+replaced with
+replaced by
+substitute with
+substituted by
+substituted with
+filled by
+filled from
+filled with
+expands to
+resolves to
+stands for
+refers to the value
+rendered as
+escape as
+the placeholder
+the placeholders
+a placeholder
+placeholders like
+placeholders such as
+the variable
+variables like
+variables such as
+the mark
+marks like
+marks such as
+tokens like
+tags like
+style template
+style templates
+style placeholders
+syntax
+template syntax
+leftover
+unfilled
+unresolved
+platzhalter
+ersetze durch
+ersetzt durch
+marcador
+reemplaza por
+reemplaza con
+remplacez par
+remplacer par
+""".strip().split("\n")
+]
+CLOSE = 4
+
 _NAME = r"[^\W\d_][\w .'’/-]{0,60}"
 #: Forms of a mark that was to be filled in.
 MARKS = re.compile(
@@ -267,6 +356,12 @@ MARKS = re.compile(
     r"|\[[^\]\[\n]{1,80}\b(?:tbd|todo|here|goes here|placeholder|einfügen|aquí|ici)\](?![(:])",
     re.I,
 )
+#: Syntax that only looks like a mark: emphasis and names of Python, variables of the environment, elements of HTML.
+_SYNTAX = re.compile(
+    r"(?<![\w_])__(?:[a-z]+|[A-Z][a-z]+)__(?!\w)|\$\{(?:HOME|PATH|USER|PWD|SHELL|TMPDIR|LANG)\}"
+    r"|%(?:PATH|APPDATA|LOCALAPPDATA|USERPROFILE|TEMP|TMP|PROGRAMFILES|SYSTEMROOT|WINDIR|USERNAME|HOMEPATH)%"
+    r"|<(?:details|input|option|button|video|audio|script|select|textarea|ol|iframe|form)(?: (?:open|disabled|checked|selected|required|multiple|readonly|hidden|autofocus|async|defer|reversed|controls|muted|loop))+>"
+)
 #: The same forms for a cheap search in whole texts.
 MARKS_RE2 = (
     r"(?i)\{\{|\{%|\$\{|#\{|<%|<<|@@|%\(|%[A-Z][A-Z0-9_]{2,}%|__[A-Z]|<[^\W\d_]+[ _'’-][^<>\n]{1,80}>|<(?:your|insert|enter|add)"
@@ -291,7 +386,7 @@ def tokens_of(window: str) -> list[str]:
 def windows(text: str) -> Iterator[str]:
     """Sentences and lines, with code and marks replaced by their tokens."""
     text = _INLINE.sub(f" {CODE} ", _FENCE.sub(f"\n{CODE}\n", text))
-    text = MARKS.sub(f" {MARK} ", text)
+    text = MARKS.sub(f" {MARK} ", _SYNTAX.sub(f" {CODE} ", text))
     for window in _BREAK.split(text):
         window = _LEAD.sub(f"{MARK} ", window, count=1).strip()
         if window:
@@ -351,8 +446,29 @@ class Exemplars:
             if contained and covered >= self.least[e]:
                 best[self.label[e]] = max(best[self.label[e]], covered)
         label = "residue" if best["residue"] > best["content"] else "content"
+        if marks and label == "content":
+            covered = self.bare_mark(words)
+            if covered:
+                return "residue", covered
         return (label, best[label]) if best[label] else ("", 0.0)
 
+    def bare_mark(self, words: list[str]) -> float:
+        """The share that a mark has of the short window around it, at the mark
+        where it is highest among those the sentence does not explain; 0 if none."""
+        spoken = set(words) - {MARK}
+        for e, own in enumerate(self.sets):
+            # The mark itself is no sign that a sentence explains it.
+            own = own - {MARK}
+            if self.label[e] == "content" and sum(self.weight[t] for t in spoken & own) >= CONTAINED * sum(self.weight[t] for t in own):
+                return 0.0
+        best = 0.0
+        for at in (k for k, t in enumerate(words) if t == MARK):
+            close = set(words[max(0, at - CLOSE) : at + CLOSE + 1])
+            if not any(own <= close for own in EXPLAINED):
+                beside = words[max(0, at - 1) : at] + words[at + 1 : at + 2]
+                best = max(best, self.weight[MARK] / (self.weight[MARK] + sum(self.weight.get(t, self.other) for t in beside)))
+        return best
+
 
 def _vocabulary_hashes(vocabulary: list[str]) -> np.ndarray:
     words = Words(pa.array(vocabulary))

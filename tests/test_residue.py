@@ -1,0 +1,45 @@
+"""Residue: marks in running text, and sentences that explain them."""
+
+from __future__ import annotations
+
+import pytest
+
+from corpusloom.llm import residue as R
+
+
+@pytest.fixture(scope="module")
+def known():
+    exemplars = R.Exemplars()
+    exemplars.weigh(1000, {})
+    return exemplars
+
+
+def labels(known, text):
+    return {known.judge(w)[0] for w in R.windows(text)} - {""}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Deploy the service to {{x}} with the standard rollout pipeline",
+        "Run the export for {{x}} every Monday",
+        "Speichere <größe der datei> vor dem nächsten Schritt in der Tabelle",
+        "Enter your contract description in this field",
+    ],
+)
+def test_unfilled_text_in_prose_is_residue(known, text):
+    assert "residue" in labels(known, text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Replace {{name}} with the value from the sheet",
+        "Fills {{x}} style templates for a frame from tabular data",
+        "Every {{x}} mark in the template is filled by the loader from the matching column",
+        "Deploy `{{x}}` with the standard rollout pipeline",
+        "Put the call into __init__ and set ${HOME} first",
+    ],
+)
+def test_explained_and_quoted_marks_are_content(known, text):
+    assert "residue" not in labels(known, text)
