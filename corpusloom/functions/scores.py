@@ -48,6 +48,11 @@ def composite(content: Column, prior: Column, scripts: Column, references: Colum
     return half_up(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.85 * content + 0.15 * prior + bonus)), 3)
 
 
+def front_matter_richness(fields: Column) -> Column:
+    """Share of the four meaningful fields that count as a full front matter."""
+    return F.least(F.lit(1.0), fields / 4)
+
+
 def structural_content(body_len: Column, description_len: Column, richness: Column) -> Column:
     return 0.5 + 0.1 * body_length_score(body_len) + 0.05 * description_length_score(description_len) + 0.05 * richness
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import licences, replies, scores, text
@@ -37,6 +37,17 @@ def now(spark, sf_dir: str, *columns: str) -> DataFrame:
     return records.latest(read(spark, sf_dir, "skills"), "skill_id", "updated_at", wanted)
 
 
+def readable_object(column: str) -> Column:
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(column)).startswith("OBJECT"), F.lit(False))
+
+
+def meaningful_fields(column: str) -> Column:
+    """Number of the front matter's fields that say something about the skill."""
+    keys = F.when(readable_object(column), F.json_object_keys(column)).otherwise(F.array().cast("array<string>"))
+    known = text.words_array(["license", "version", "tags", "metadata", "allowed-tools", "compatibility", "homepage", "emoji", "category", "source", "risk"])
+    return F.size(F.filter(keys, lambda k: F.array_contains(known, k)))
+
+
 def judged(spark, sf_dir: str) -> DataFrame:
     """The latest judgement of each content hash, with its parsed scores."""
     rows = read(spark, sf_dir, "quality_judgments").withColumn("at", replies.utc(F.col("judged_at")))
@@ -190,14 +201,16 @@ def tags_top5(spark, sf_dir):
    + 0.05 * CASE WHEN dl < 20 THEN 0.0 WHEN dl < 60 THEN 0.5 WHEN dl <= 1024 THEN 1.0 ELSE 0.8 END END AS content FROM c)
 SELECT skill_id, floor(greatest(0.0, least(1.0, 0.85 * content + 0.15 * prior + (CASE WHEN has_scripts THEN 0.05::double ELSE 0::double END + CASE WHEN has_references THEN 0.02::double ELSE 0::double END))) * 1000.0 + 0.5) / 1000.0 AS quality FROM f""")
 def quality_score(spark, sf_dir):
-    """Quality recomputed from judgement (or structure), source prior and extras."""
-    rows = now(spark, sf_dir, "source", "body", "description", "content_hash", "has_scripts", "has_references")
+    """Quality recomputed from judgement (or structure), source prior and extras; 0 where a safety flag blocks."""
+    rows = now(spark, sf_dir, "source", "body", "description", "frontmatter_raw", "content_hash", "safety_flags", "has_scripts", "has_references")
     prior = read(spark, sf_dir, "source_registry").groupBy(F.lower(F.trim("source")).alias("src")).agg(F.max("source_weight").alias("prior"))
     rows = rows.withColumn("src", F.lower(F.trim("source"))).withColumn("bl", F.length("body")).withColumn("dl", F.length("description"))
     rows = rows.join(judged(spark, sf_dir).select("content_hash", "score"), "content_hash", "left").join(prior, "src", "left")
     content = F.when(F.col("score").isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score") / 10)))
-    content = content.otherwise(scores.structural_content(F.col("bl"), F.col("dl"), F.lit(0.0)))
-    return rows.select("skill_id", scores.composite(content, F.coalesce("prior", F.lit(0.5)), F.col("has_scripts"), F.col("has_references")).alias("quality"))
+    content = content.otherwise(scores.structural_content(F.col("bl"), F.col("dl"), scores.front_matter_richness(meaningful_fields("frontmatter_raw"))))
+    blocked = F.exists(replies.string_list(F.col("safety_flags")), lambda f: F.startswith(f, F.lit("blocked.")))
+    quality = scores.composite(content, F.coalesce("prior", F.lit(0.5)), F.col("has_scripts"), F.col("has_references"))
+    return rows.select("skill_id", F.when(blocked, 0.0).otherwise(quality).alias("quality"))
 
 
 @query(f"""WITH {JUDGED_SQL}, b AS (SELECT least(floor(score / 2), 4)::int AS bin FROM judged WHERE score BETWEEN 0 AND 10 AND NOT isnan(score)), spine AS (SELECT unnest(range(0, 5))::int AS bin)
@@ -271,11 +284,9 @@ SELECT skill_id, fm IS NOT NULL AS readable, len(list_filter(coalesce(json_keys(
 def front_matter_fields(spark, sf_dir):
     """Which front matter is readable, and how many meaningful fields it has."""
     parsed = F.try_parse_json("frontmatter_raw")
-    is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
-    keys = F.when(is_object, F.json_object_keys("frontmatter_raw")).otherwise(F.array().cast("array<string>"))
-    known = text.words_array(["license", "version", "tags", "metadata", "allowed-tools", "compatibility", "homepage", "emoji", "category", "source", "risk"])
+    is_object = readable_object("frontmatter_raw")
     return now(spark, sf_dir, "frontmatter_raw").select(
-        "skill_id", is_object.alias("readable"), F.size(F.filter(keys, lambda k: F.array_contains(known, k))).alias("meaningful"),
+        "skill_id", is_object.alias("readable"), meaningful_fields("frontmatter_raw").alias("meaningful"),
         F.when(is_object, F.try_variant_get(parsed, "$.name", "string")).alias("fm_name"),
     )
 
