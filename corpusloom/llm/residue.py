@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import Words, table
 
 MARK = "‹mark›"
+#: A lead word that may be a plain word (Spanish "todo"): a mark for the exemplars, none by itself.
+LEAD = "‹lead›"
 CODE = "‹code›"
 #: Share of an exemplar's weight that a window must hold.
 CONTAINED = 0.6
@@ -362,18 +364,18 @@ _SYNTAX = re.compile(
     r"|%(?:PATH|APPDATA|LOCALAPPDATA|USERPROFILE|TEMP|TMP|PROGRAMFILES|SYSTEMROOT|WINDIR|USERNAME|HOMEPATH)%"
     r"|<(?:details|input|option|button|video|audio|script|select|textarea|ol|iframe|form)(?: (?:open|disabled|checked|selected|required|multiple|readonly|hidden|autofocus|async|defer|reversed|controls|muted|loop))+>"
 )
-#: The same forms for a cheap search in whole texts.
+#: A cheap search in whole texts that finds every text with such a mark or a lead word, and more.
 MARKS_RE2 = (
-    r"(?i)\{\{|\{%|\$\{|#\{|<%|<<|@@|%\(|%[A-Z][A-Z0-9_]{2,}%|__[A-Z]|<[^\W\d_]+[ _'’-][^<>\n]{1,80}>|<(?:your|insert|enter|add)"
-    r"|\[[^\]\n]*(?:insert|your|add|enter|describe|replace|write|fill|sentence|name of|tbd|todo|placeholder|here|einf|aqu|ici|tu |su |hier|votre)[^\]\n]*\]"
-    r"|(?m:^[\s#>*+-]*(?:\d+[.)]\s+)?(?:todo|tbd|fixme)\b)"
+    r"(?is)\{\{|\{%|\$\{|#\{|<%|<<|@@|%\(|%\pL|__\pL|<[\pL\p{Nl}\p{No}]|\[.*\](?:[^(:]|$)"
+    r"|todo|tbd|f[iİı]xme"
 )
 _FENCE = re.compile(r"^[ \t]*(```|~~~).*?(?:^[ \t]*\1[ \t]*$|\Z)", re.S | re.M)
 _INLINE = re.compile(r"(`+)(?!`).+?\1", re.S)
 _LEAD = re.compile(r"^[\s#>*+-]*(?:\d+[.)]\s+)?(?:todo|tbd|fixme)\b\s*[:\-–]?\s*", re.I)
+_FIRM = re.compile(r"TODO|TBD|FIXME|[:–-]\s*$")
 #: Paths, links, host names, slugs and long codes carry no weight.
 _IDS = re.compile(r"https?://\S+|(?<!\w)/?(?:[\w.-]+/)+[\w.-]*|\b(?=\w*\d)[0-9a-f]{7,}\b|\b[\w-]+(?:\.[\w-]+){2,}\b|\b\w+(?:-\w+){2,}\b", re.I)
-_TOKEN = re.compile(rf"{MARK}|{CODE}|[^\W_]+")
+_TOKEN = re.compile(rf"{MARK}|{LEAD}|{CODE}|[^\W_]+")
 _BREAK = re.compile(r"(?<=[.!?。！？])\s+|\n+|(?<=[。！？])")
 
 
@@ -388,7 +390,7 @@ def windows(text: str) -> Iterator[str]:
     text = _INLINE.sub(f" {CODE} ", _FENCE.sub(f"\n{CODE}\n", text))
     text = MARKS.sub(f" {MARK} ", _SYNTAX.sub(f" {CODE} ", text))
     for window in _BREAK.split(text):
-        window = _LEAD.sub(f"{MARK} ", window, count=1).strip()
+        window = _LEAD.sub(lambda m: f"{MARK if _FIRM.search(m[0]) else LEAD} ", window, count=1).strip()
         if window:
             yield window
 
@@ -429,7 +431,8 @@ class Exemplars:
 
     def judge(self, window: str) -> tuple[str, float]:
         """Label of the exemplar that contains most of the window, and how much."""
-        words = tokens_of(window)
+        spoken = tokens_of(window)
+        words = [MARK if t == LEAD else t for t in spoken]
         kinds = set(words)
         near = {e for t in kinds for e in self.index.get(t, ())}
         if not near:
@@ -447,7 +450,7 @@ class Exemplars:
                 best[self.label[e]] = max(best[self.label[e]], covered)
         label = "residue" if best["residue"] > best["content"] else "content"
         if marks and label == "content":
-            covered = self.bare_mark(words)
+            covered = self.bare_mark(spoken)
             if covered:
                 return "residue", covered
         return (label, best[label]) if best[label] else ("", 0.0)
@@ -455,7 +458,7 @@ class Exemplars:
     def bare_mark(self, words: list[str]) -> float:
         """The share that a mark has of the short window around it, at the mark
         where it is highest among those the sentence does not explain; 0 if none."""
-        spoken = set(words) - {MARK}
+        spoken = set(words) - {MARK, LEAD}
         for e, own in enumerate(self.sets):
             # The mark itself is no sign that a sentence explains it.
             own = own - {MARK}
