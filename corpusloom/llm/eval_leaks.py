@@ -8,6 +8,11 @@ seeds' hits, passages are aligned with their item by Smith-Waterman, which
 scores edited and paraphrased copies; the longest unbroken run of equal words is
 read off the same alignment table.
 
+Copies with many small edits hold no long n-gram.  For them, a second pass counts
+word pairs: every edit costs the alignment at least as much as it breaks word
+pairs, so a copy of given similarity must keep a share of the item's word pairs
+in a stretch of bounded length.  Every stretch that does is aligned.
+
 Items are the stated query set: they are shipped in blocks of bounded size, each
 of which meets all documents.  Documents are never shuffled; only hits are.
 """
@@ -18,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -212,6 +218,82 @@ def _seeded(seed):
     return run
 
 
+def _edited(index, similarity: float, least_words: int, portion: int = 128):
+    """Texts to aligned rows of the passages that hold enough word pairs of an item."""
+    score = _aligned(index, portion)
+
+    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ix: ItemIndex = index.value
+        # A full copy scores MATCH a word; this much of it may be lost.
+        loss = np.floor(MATCH * ix.length * (1 - similarity) + 1e-3 * ix.length).astype(np.int64)
+        least = np.maximum(1, ix.length - 1 - loss)
+        width = ix.length + loss
+        # Few texts at a time, so that the hits of common word pairs stay few.
+        for batch in (whole.slice(s, 1000) for whole in batches for s in range(0, whole.num_rows, 1000)):
+            words = Words(batch.column(1))
+            gram, owner, at = words.grams(ix.n)
+            low, high = np.searchsorted(ix.gram, gram), np.searchsorted(ix.gram, gram, side="right")
+            times = high - low
+            met = np.repeat(np.arange(len(gram)), times)
+            entry = low[met] + np.arange(len(met)) - np.repeat(np.cumsum(times) - times, times)
+            doc, item, place = owner[met], ix.item[entry].astype(np.int64), at[met]
+            keep = ix.length[item] >= least_words
+            # Each word pair of the document counts once for an item.
+            key = np.unique((doc[keep] * len(ix.items) + item[keep]) * (len(words.hash) + 1) + place[keep])
+            pair, place = key // (len(words.hash) + 1), key % (len(words.hash) + 1)
+            item = pair % max(len(ix.items), 1)
+            # The stretch from a hit passes if the hit after the required number is still within it.
+            last = np.arange(len(key)) + least[item] - 1
+            inside = np.flatnonzero(last < len(key))
+            inside = inside[(pair[last[inside]] == pair[inside]) & (place[last[inside]] - place[inside] <= width[item[inside]])]
+            if not len(inside):
+                continue
+            pair, place, item = pair[inside], place[inside], item[inside]
+            new = np.r_[True, (pair[1:] != pair[:-1]) | (np.diff(place) > 2 * width[item[1:]])]
+            edges = np.r_[np.flatnonzero(new), len(pair)]
+            doc = pair // len(ix.items)
+            held = []
+            for a, b in zip(edges[:-1], edges[1:]):
+                first = max(words.offset[doc[a]], place[a] - width[item[a]])
+                stop = min(words.offset[doc[a] + 1], place[b - 1] + width[item[a]] + ix.n)
+                held.append(ix.code(words.hash[first:stop]).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(doc[edges[:-1]])), pa.array(item[edges[:-1]], pa.int32()), pa.array(held, pa.binary())],
+                ["_doc", "_item", "_passage"],
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in score(passages(batches)):
+            yield batch.filter(pc.greater_equal(batch.column("similarity"), similarity))
+
+    return run
+
+
+def edited_copies(corpus: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, similarity: float = 0.6, least_words: int = 8, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Every document and item whose local alignment reaches ``similarity``:
+    ``(doc_id, item_id, longest_run, similarity)``, for a similarity above 0.5.
+
+    Null texts and ids and items of fewer than ``least_words`` words match
+    nothing; each pair of ids comes out once with its best values.
+    """
+    spark = corpus.sparkSession
+    docs = corpus.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).filter("_doc IS NOT NULL AND _text IS NOT NULL")
+    asked = items.select(F.col(item_id).alias("_id"), F.col(item_text).alias("_words")).filter("_id IS NOT NULL AND _words IS NOT NULL")
+    chars = asked.agg(F.sum(F.length("_words"))).first()[0] or 0
+    blocks = max(1, -(-chars // block_chars))
+    doc_type, item_type = docs.schema["_doc"].dataType.simpleString(), asked.schema["_id"].dataType.simpleString()
+    found = None
+    for block in range(blocks):
+        rows = asked.filter(F.pmod(F.xxhash64("_id"), F.lit(blocks)) == block).toArrow()
+        index = ItemIndex(rows.column("_words").combine_chunks() if rows.num_rows else pa.array([], pa.string()), 2)
+        shared = spark.sparkContext.broadcast(index)
+        aligned = docs.mapInArrow(_edited(shared, similarity, least_words), f"_doc {doc_type}, _item int, longest_run int, similarity double")
+        ids = spark.createDataFrame(list(enumerate(rows.column("_id").to_pylist())) if rows.num_rows else [], "_item int, _id " + item_type)
+        part = aligned.join(ids, "_item").drop("_item")
+        found = part if found is None else found.unionByName(part)
+    return found.groupBy(F.col("_doc").alias(doc_id), F.col("_id").alias(item_id)).agg(F.max("longest_run").alias("longest_run"), F.max("similarity").alias("similarity"))
+
+
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eval_leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
 
@@ -225,6 +307,8 @@ def leak_report(spark: SparkSession, sf_dir: str, run: int = 12, similarity: flo
     """Per item that leaked: documents with an unbroken run, and with an edited
     or paraphrased copy that aligns with ``similarity`` of the item."""
     leaks = _leaks(spark, sf_dir)
+    copies = edited_copies(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text", similarity)
+    leaks = leaks.unionByName(copies).groupBy("doc_id", "item_id").agg(F.max("longest_run").alias("longest_run"), F.max("similarity").alias("similarity"))
     exact, edited = F.col("longest_run") >= run, F.col("similarity") >= similarity
     return (
         leaks.filter(exact | edited).groupBy("item_id")

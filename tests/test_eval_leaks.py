@@ -1,0 +1,20 @@
+"""Edited copies of evaluation items that keep no long run of words."""
+
+from __future__ import annotations
+
+from corpusloom.llm.eval_leaks import leak_report
+
+
+def test_copies_without_a_long_run_are_counted(spark, tmp_path):
+    words = [f"w{k}" for k in range(60)]
+    seventh = [w if k % 7 else "other" for k, w in enumerate(words)]  # similarity near 0.77, runs of 6
+    inserted = [x for k, w in enumerate(words) for x in ([w, "more"] if k % 2 else [w])]  # similarity 0.75, runs of 2
+    fourth = [w if k % 4 else "other" for k, w in enumerate(words)]  # similarity near 0.62, runs of 3
+    third = [w if k % 3 else "other" for k, w in enumerate(words)]  # below 0.6
+    pad = [f"p{k}" for k in range(300)]
+    texts = [pad + seventh + pad, inserted + pad, pad + fourth, pad + third, pad + words, pad]
+    spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(1, " ".join(words)), (2, "one two three four five six seven eight nine ten eleven twelve")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/eval_items.parquet")
+    (row,) = leak_report(spark, str(tmp_path)).collect()
+    assert (row.item_id, row.docs_with_run, row.docs_edited_only, row.best_similarity) == (1, 1, 3, 1.0)
