@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 import numpy as np
@@ -21,14 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably and cut its lineage.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; only where
-    that is unset (tests, a laptop) a local folder is chosen.
+    The cluster names a shared folder in ``spark.checkpoint.dir``.  Where that is
+    unset, a local session (tests, a laptop) takes a folder of its own; a session
+    on several machines is refused, as no folder of one machine serves the others.
     """
     spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints")
-        )
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusloom-"))
     return df.checkpoint(eager=True)
 
 

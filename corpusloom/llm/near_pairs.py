@@ -1,30 +1,35 @@
-"""Problem 1: near-duplicate records with small edits, as an exact-verified set join.
-
-A record is the set of its shingles (runs of n consecutive words).  The universe
-of shingles is hashed into m segments, with m set by the record's size band so
-that a segment holds about ``TOKENS_PER_SEGMENT`` shingles of it; bands are a
-factor 4 wide and overlap by half, so two sets whose sizes differ by at most 2
-share a band, and sets of like size share one in which both lie near the middle.
-Of every segment a record indexes its subset there and, for medium subsets, the
-subset's one-deletion neighbourhood.  Two records become candidates when they
-share a signature of a segment: equal subsets, or subsets equal but for one
-shingle on either side.  By the pigeonhole principle a pair that differs in
-fewer shingles than its allocated segments tolerate together must share one.
-
-The cost-based allocation gives a segment nothing where its signatures would be
-unselective (fewer than ``LEAST_TOKENS`` shingles left) or numerous (large
-subsets), the subset alone at the margins, and the neighbourhood in between.
+"""Problem 1: near-duplicate records with small edits, as a verified set join.
+
+A record is the set of its shingles (runs of n consecutive words), and records
+with the same set are one class from the start.  The universe of shingles is
+hashed into m segments, with m set by the set's size band; bands are a factor 4
+wide and overlap by half, so two sets whose sizes differ by at most 2 share a
+band, and sets of like size share one in which both lie near the middle.  Of
+every segment a set indexes its subset there and, for small subsets, the
+subset's one-deletion neighbourhood.  Two sets become candidates when they share
+a signature of a segment: equal subsets, or subsets equal but for one shingle on
+either side.
+
+``allocation`` sets, per band, how many shingles a segment holds and which
+subsets and neighbourhoods are indexed: the cheapest choice (entries, and false
+candidates among so many records) under which a pair exactly at the threshold
+shares no signature with a chance of at most ``MISS``; pairs further above it
+are missed still less.  The choice depends on the size alone: a subset is never
+left out for how many sets share it.
 
 Candidates pass an exact lower bound on the symmetric difference (hashed
 bitmaps) and are then verified on the whole texts, so nothing false comes out.
 
-Signatures travel as packed 12-byte entries in a few blobs per task, not as
-rows.  Pairs and bitmaps are routed through the same two shuffles, so texts are
-split into words once for candidates and once more, for survivors, to verify.
+Signatures travel as packed 13-byte entries in a few blobs per task, not as
+rows; every task sends each class once.  The number of buckets follows from the
+bytes of text, rows arrive sorted by key, and every step holds one bucket or one
+batch at a time.  A signature shared by many classes is dealt out as pairs of
+blocks, so no task lists all its pairs.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,18 +39,76 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import cut, mix64, shingle_sets, table
 
-TOKENS_PER_SEGMENT = 6.0
-LEAST_TOKENS = 5
-MOST_FOR_DELETION = 8
-MOST_TOKENS = 10
+#: Chance that a pair exactly at the threshold shares no signature in either of its two bands.
+MISS = 0.02
+#: Share of records that hold a given shingle of another record, as the cost model sees it.
+SHARED = 0.1
+#: What a false candidate costs, in entries.
+PRICE = 5.0
 BITS = 512
 FLUSH_ENTRIES = 1_000_000
 PAIRS_AT_ONCE = 1_000_000
-ID_BITS = 56
-
-
-def segment_signatures(gram: np.ndarray, owner: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of all sets: ``(signature, owner)``; ``gram`` is sorted within each owner."""
+#: Classes under one signature beyond which its pairs are dealt out in blocks.
+BLOCK = 512
+#: Bytes of text per partition of the joins.
+PART_BYTES = 16 << 20
+ID_BITS = 63
+BANDS = 26
+MAP, BLOB, BLOCKS, NAME = -1, -2, -3, -4
+
+
+def _poisson(mean: float, most: int) -> np.ndarray:
+    k = np.arange(most + 1)
+    return np.exp(k * np.log(max(mean, 1e-12)) - mean - np.cumsum(np.r_[0.0, np.log(np.arange(1, most + 1))]))
+
+
+def missed(size: float, threshold: float, per_segment: float, middle: float, least: int, cutable: int, most: int) -> float:
+    """Chance that two sets of ``size`` shingles at similarity ``threshold`` share
+    no signature of the band around ``middle``."""
+    m = max(1.0, round(middle / per_segment))
+    common = _poisson(2 * threshold * size / (1 + threshold) / m, 60)
+    alone = _poisson((1 - threshold) * size / (1 + threshold) / m, 1)
+    k = np.arange(61)
+    whole, less = (k >= least) & (k <= most), (k >= least) & (k < cutable)
+    met = common @ (whole * alone[0] ** 2 + (whole & less) * 2 * alone[0] * alone[1] + less * alone[1] ** 2)
+    return float((1 - met) ** m)
+
+
+@functools.cache
+def allocation(threshold: float, magnitude: int) -> np.ndarray:
+    """Per band (both shifts): segments, fewest and most shingles of an indexed
+    subset, and most shingles of a subset with its deletions, for about
+    ``10**magnitude`` records."""
+    k = np.arange(61)
+    choices = [(per, least, cutable, most) for per in (1.0, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0, 6.0, 8.0) for least in range(1, 7) for cutable in range(least, least + 3) for most in range(cutable, least + 5)]
+    out = np.zeros((BANDS, 4))
+    for half in range(BANDS):
+        middle = 2.0 ** (half + 1)
+        ranked = []
+        for per, least, cutable, most in choices:
+            m = max(1, round(middle / per))
+            held = _poisson(middle / m, 60)
+            taken, cuts = (k >= least) & (k <= most), (k > least) & (k <= cutable)
+            entries = m * held @ (taken + k * cuts)
+            false = m * held @ (taken * SHARED**k + k * cuts * SHARED ** (k - 1.0))
+            ranked.append((entries + PRICE * 10.0**magnitude * false, per, (m, least, most, cutable)))
+        ranked.sort()
+        fallback = None
+        for _, per, choice in ranked:
+            miss = max(missed(middle * f, threshold, per, middle, choice[1], choice[3], choice[2]) for f in (0.71, 1.0, 1.41))
+            if fallback is None or miss < fallback[0]:
+                fallback = (miss, choice)
+            # Every size lies in two bands, which miss a pair independently.
+            if miss * miss <= MISS:
+                break
+        # Bands of a few shingles cannot reach the bound; they take what misses least.
+        out[half] = choice if miss * miss <= MISS else fallback[1]
+    return out
+
+
+def segment_signatures(gram: np.ndarray, owner: np.ndarray, size: np.ndarray, plan: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of all sets by the ``plan`` of ``allocation``: ``(signature,
+    owner)``; ``gram`` is sorted within each owner."""
     outs, owners = [], []
     if not len(gram):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -53,27 +116,34 @@ def segment_signatures(gram: np.ndarray, owner: np.ndarray, size: np.ndarray) ->
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)])
     log = np.log2(np.maximum(size, 1))
     for shift in (0, 1):
-        band = np.floor((log + shift) / 2).astype(np.int64)
-        middle = 2.0 ** (2 * band - shift + 1)
-        m = np.maximum(1, np.round(middle / TOKENS_PER_SEGMENT)).astype(np.uint64)
+        # Bands [4**b, 4**(b+1)) and, shifted by half, [2 * 4**(b-1), 2 * 4**b); their middles are powers of two.
+        band = np.minimum(len(plan) - 1, np.maximum(0, 2 * np.floor((log + shift) / 2).astype(np.int64) - shift))
+        m, least, most, cutable = plan[band].T
         # The upper half of the hash, scaled, is the segment; sorted hashes keep a segment's shingles together.
-        segment = ((gram >> np.uint64(32)) * m[owner]) >> np.uint64(32)
+        segment = ((gram >> np.uint64(32)) * m.astype(np.uint64)[owner]) >> np.uint64(32)
         start = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (segment[1:] != segment[:-1])])
         held = np.diff(np.r_[start, len(gram)])
         who = owner[start]
         salt = mix64(segment[start] * np.uint64(1_000_003) + (band[who] * 2 + shift).astype(np.uint64) + np.uint64(17))
         whole = total[start + held] - total[start]
-        taken = (held >= LEAST_TOKENS) & (held <= MOST_TOKENS)
+        taken = (held >= least[who]) & (held <= most[who])
         outs.append(mix64(whole[taken] + salt[taken]))
         owners.append(who[taken])
-        cutable = (held > LEAST_TOKENS) & (held <= MOST_FOR_DELETION)
+        cuts = (held > least[who]) & (held <= cutable[who])
         at = np.repeat(np.arange(len(start)), held)
-        one = cutable[at]
+        one = cuts[at]
         outs.append(mix64(whole[at[one]] - x[one] + salt[at[one]]))
         owners.append(owner[one])
     return np.concatenate(outs), np.concatenate(owners)
 
 
+def set_ids(gram: np.ndarray, owner: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of each whole set, without sign; equal sets have equal ids."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(gram ^ np.uint64(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)])
+    end = np.cumsum(size)
+    return mix64(total[end] - total[end - size] + size.astype(np.uint64)) >> np.uint64(64 - ID_BITS)
+
+
 def _bitmaps(gram: np.ndarray, owner: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Per set its size (4 bytes) and a bitmap of hashed shingles."""
     bits = np.zeros((len(size), BITS), bool)
@@ -88,6 +158,11 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
 
 
+def _stacked(data: pa.Array, at: np.ndarray, width: int) -> np.ndarray:
+    """Values of equal length as the rows of one array."""
+    return np.frombuffer(b"".join(data.take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), width)
+
+
 MIXED = "key long, other long, data binary"
 
 
@@ -95,14 +170,13 @@ def _batch(key: np.ndarray, other: np.ndarray, data: pa.Array) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(other, pa.int64()), data], ["key", "other", "data"])
 
 
-def _signatures(n: int, least_words: int, buckets: int):
-    """Texts to blobs of ``(signature, id)`` by bucket, and bitmaps by id.
-
-    ``other`` is -1 on bitmaps and -2 on blobs, whose key is the bucket.
-    """
+def _signatures(n: int, least_words: int, buckets: int, plan: np.ndarray):
+    """Texts to blobs of ``(signature, class)`` by bucket, and names and bitmaps by
+    class; ``other`` tells which (``MAP``, ``BLOB``, ``NAME``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        seen: set[int] = set()
         count = 0
 
         def flush() -> pa.RecordBatch:
@@ -110,25 +184,37 @@ def _signatures(n: int, least_words: int, buckets: int):
             ids = np.concatenate([h[1] for h in held])
             bucket = (sig >> np.uint64(40)) % np.uint64(buckets)
             order = np.argsort(bucket.astype(np.int32), kind="stable")
-            packed = np.empty((len(sig), 12), np.uint8)
+            packed = np.empty((len(sig), 13), np.uint8)
             packed[:, :5] = sig.astype("<u8")[order][:, None].view(np.uint8)[:, :5]
-            packed[:, 5:] = ids.astype("<u8")[order][:, None].view(np.uint8)[:, :7]
+            packed[:, 5:] = ids.astype("<u8")[order][:, None].view(np.uint8)
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
             some = np.flatnonzero(np.diff(edges))
             blobs = [packed[edges[b] : edges[b + 1]].tobytes() for b in some]
-            return _batch(some, np.full(len(some), -2), pa.array(blobs, pa.binary()))
+            return _batch(some, np.full(len(some), BLOB), pa.array(blobs, pa.binary()))
 
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
             gram, owner = shingle_sets(batch.column(1), n, least_words)
-            size = np.bincount(owner, minlength=len(ids))
+            size = np.bincount(owner, minlength=batch.num_rows)
             real = np.flatnonzero(size)
             if not len(real):
                 continue
-            place = np.zeros(len(ids), np.int64)
+            place = np.zeros(batch.num_rows, np.int64)
             place[real] = np.arange(len(real))
-            yield _batch(ids[real].astype(np.int64), np.full(len(real), -1), _binary(_bitmaps(gram, place[owner], size[real])))
-            sig, who = segment_signatures(gram, owner, size)
+            owner, size = place[owner], size[real]
+            ids = set_ids(gram, owner, size)
+            yield _batch(ids.astype(np.int64), np.full(len(ids), NAME), batch.column(0).take(pa.array(real)).cast(pa.binary()))
+            # Copies of a set that this task has sent already send no more than their names.
+            fresh = np.zeros(len(ids), bool)
+            fresh[np.unique(ids, return_index=True)[1]] = True
+            fresh &= np.array([i not in seen for i in ids.tolist()])
+            seen.update(ids[fresh].tolist())
+            if not fresh.any():
+                continue
+            place = np.cumsum(fresh) - 1
+            keep = fresh[owner]
+            gram, owner, size, ids = gram[keep], place[owner[keep]], size[fresh], ids[fresh]
+            yield _batch(ids.astype(np.int64), np.full(len(ids), MAP), _binary(_bitmaps(gram, owner, size)))
+            sig, who = segment_signatures(gram, owner, size, plan)
             held.append((sig, ids[who]))
             count += len(sig)
             if count >= FLUSH_ENTRIES:
@@ -140,18 +226,23 @@ def _signatures(n: int, least_words: int, buckets: int):
     return run
 
 
-def _pairs_of(sig: np.ndarray, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of different ids under one signature, in bounded portions."""
+def _grouped(sig: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids sorted by signature, and where each signature begins (with the end)."""
     order = np.lexsort((ids, sig))
     sig, ids = sig[order], ids[order]
-    if len(sig):
-        first = np.r_[True, (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])]
-        sig, ids = sig[first], ids[first]
+    first = np.r_[True, (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])] if len(sig) else np.zeros(0, bool)
+    sig, ids = sig[first], ids[first]
+    return ids, np.r_[np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]]), len(sig)] if len(sig) else np.zeros(1, np.int64)
+
+
+def _pairs_of(ids: np.ndarray, edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of different ids under one signature, in bounded portions."""
+    group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     left, right, count = [], [], 0
-    alive, step = np.arange(len(sig)), 1
+    alive, step = np.arange(len(ids)), 1
     while len(alive):
-        alive = alive[alive + step < len(sig)]
-        alive = alive[sig[alive] == sig[alive + step]]
+        alive = alive[alive + step < len(ids)]
+        alive = alive[group[alive] == group[alive + step]]
         left.append(ids[alive])
         right.append(ids[alive + step])
         count += len(alive)
@@ -170,88 +261,129 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[first], b[first]
 
 
+def _rows_by_kind(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    data = batch.column(2)
+    return batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), data
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blobs of a bucket to pairs ``(key, other)``, smaller id first; bitmaps pass."""
-    blobs: dict[int, list[bytes]] = {}
-    for batch in batches:
-        other = batch.column(1).to_numpy(zero_copy_only=False)
-        passing = np.flatnonzero(other == -1)
-        if len(passing):
-            yield batch.take(pa.array(passing))
-        for i in np.flatnonzero(other == -2):
-            blobs.setdefault(batch.column(0)[int(i)].as_py(), []).append(batch.column(2)[int(i)].as_py())
-    for bucket in list(blobs):
-        packed = np.frombuffer(b"".join(blobs.pop(bucket)), np.uint8).reshape(-1, 12)
-        sig, ids = np.zeros((len(packed), 8), np.uint8), np.zeros((len(packed), 8), np.uint8)
-        sig[:, :5], ids[:, :7] = packed[:, :5], packed[:, 5:]
-        for a, b in _pairs_of(sig.view("<u8").ravel(), ids.view("<u8").ravel()):
+    """Blobs, sorted by bucket, to pairs ``(key, other)``, smaller id first, and to
+    pairs of blocks where a signature has many ids; the rest passes."""
+
+    def pairs(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        packed = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 13)
+        sig = np.zeros((len(packed), 8), np.uint8)
+        sig[:, :5] = packed[:, :5]
+        ids, edges = _grouped(sig.view("<u8").ravel(), np.ascontiguousarray(packed[:, 5:]).view("<u8").ravel())
+        held = np.diff(edges)
+        for g in np.flatnonzero(held > BLOCK).tolist():
+            own = ids[edges[g] : edges[g + 1]]
+            blocks = [own[s : s + BLOCK] for s in range(0, len(own), BLOCK)]
+            for i, x in enumerate(blocks):
+                # Row by row, so that the rows of one huge signature do not pile up.
+                rows = [np.concatenate([[len(x)], x, y]).astype("<u8").tobytes() for y in blocks[i:]]
+                key = mix64(np.arange(len(rows), dtype=np.uint64) + own[i]).astype(np.int64)
+                yield _batch(key, np.full(len(rows), BLOCKS), pa.array(rows, pa.binary()))
+        few = held <= BLOCK
+        keep = np.repeat(few, held)
+        for a, b in _pairs_of(ids[keep], np.r_[0, np.cumsum(held[few])]):
             yield _batch(a.astype(np.int64), b.astype(np.int64), pa.nulls(len(a), pa.binary()))
 
-
-def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple:
-    """Of one partition the distinct bitmaps by id, and the distinct pairs with their data."""
-    whole = pa.Table.from_batches(list(batches))
-    if not whole.num_rows:
-        return None
-    key = whole.column("key").to_numpy()
-    other = whole.column("other").to_numpy()
-    data = whole.column("data").combine_chunks()
-    at = np.flatnonzero(other == -1)
-    width = 4 + BITS // 8
-    maps = np.frombuffer(b"".join(data.take(pa.array(at)).to_pylist()), np.uint8).reshape(-1, width)
-    if len(at):
-        rows = np.unique(np.concatenate([key[at].astype("<i8")[:, None].view(np.uint8), maps], axis=1), axis=0)
-        ids = np.ascontiguousarray(rows[:, :8]).view("<i8").ravel()
-        order = np.argsort(ids, kind="stable")
-        ids, maps = ids[order], np.ascontiguousarray(rows[order, 8:])
-    else:
-        ids = key[at]
-    return ids, maps, key, other, data, np.flatnonzero(other >= 0)
-
-
-def _attached(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every (place in ``wanted``, place in ``ids``) with equal values; ``ids`` is sorted."""
-    low, high = np.searchsorted(ids, wanted), np.searchsorted(ids, wanted, side="right")
-    times = high - low
-    place = np.repeat(np.arange(len(wanted)), times)
-    within = np.arange(len(place)) - np.repeat(np.cumsum(times) - times, times)
-    return place, low[place] + within
-
-
-def _attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs by their first id take its bitmap along to their second id."""
-    got = _gathered(batches)
-    if got is None:
-        return
-    ids, maps, key, other, _, pairs = got
-    if len(ids):
-        yield _batch(ids, np.full(len(ids), -1), _binary(maps))
-    a, b = _distinct(key[pairs], other[pairs])
-    for s in range(0, len(a), PAIRS_AT_ONCE // 10):
-        part, hit = _attached(ids, a[s : s + PAIRS_AT_ONCE // 10])
-        if len(part):
-            yield _batch(b[s + part], a[s + part], _binary(maps[hit]))
+    bucket, blobs = None, []
+    for batch in batches:
+        key, other, data = _rows_by_kind(batch)
+        rest = np.flatnonzero(other != BLOB)
+        if len(rest):
+            yield batch.take(pa.array(rest))
+        for i in np.flatnonzero(other == BLOB).tolist():
+            if key[i] != bucket and blobs:
+                yield from pairs(blobs)
+                blobs = []
+            bucket = key[i]
+            blobs.append(data[i].as_py())
+    if blobs:
+        yield from pairs(blobs)
+
+
+def _expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of blocks to pairs of ids; the rest passes."""
+    for batch in batches:
+        _, other, data = _rows_by_kind(batch)
+        rest = np.flatnonzero(other != BLOCKS)
+        if len(rest):
+            yield batch.take(pa.array(rest))
+        for i in np.flatnonzero(other == BLOCKS).tolist():
+            packed = np.frombuffer(data[i].as_py(), "<u8").astype(np.int64)
+            x, y = packed[1 : packed[0] + 1], packed[packed[0] + 1 :]
+            a, b = np.repeat(x, len(y)), np.tile(y, len(x))
+            good = a < b
+            yield _batch(a[good], b[good], pa.nulls(int(good.sum()), pa.binary()))
+
+
+class _Sorted:
+    """Walks rows sorted by key, a bitmap before the pairs of its key, and keeps
+    the last bitmap from one batch to the next."""
+
+    def __init__(self) -> None:
+        self.key, self.row = None, None
+        self.last = (None, None)
+
+    def read(self, batch: pa.RecordBatch):
+        """First rows of bitmaps, pairs that are new, and the bitmap of each such pair."""
+        key, other, data = _rows_by_kind(batch)
+        width = 4 + BITS // 8
+        maps = np.flatnonzero(other == MAP)
+        held = _stacked(data, maps, width)
+        own_key = key[maps]
+        if self.key is not None:
+            held, own_key = np.concatenate([self.row[None], held]), np.r_[self.key, own_key]
+            maps = np.r_[-1, maps]
+        pairs = np.flatnonzero(other >= 0)
+        new = np.r_[True, (key[1:] != key[:-1]) | (other[1:] != other[:-1])]
+        if len(key) and (key[0], other[0]) == self.last:
+            new[0] = False
+        pairs = pairs[new[pairs]]
+        at = np.searchsorted(maps, pairs, side="right") - 1
+        good = at >= 0
+        good[good] = own_key[at[good]] == key[pairs[good]]
+        pairs, at = pairs[good], at[good]
+        fresh = maps[(maps >= 0) & np.r_[True, own_key[1:] != own_key[:-1]]] if len(maps) else maps
+        if len(maps):
+            self.key, self.row = own_key[-1], held[-1]
+        if len(key):
+            self.last = (key[-1], other[-1])
+        return key, other, data, fresh, pairs, held[at] if len(pairs) else np.zeros((0, width), np.uint8)
+
+
+def _attached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs, sorted by their first id, take its bitmap along to their second id."""
+    walk = _Sorted()
+    for batch in batches:
+        key, other, _, fresh, pairs, maps = walk.read(batch)
+        passing = np.union1d(fresh, np.flatnonzero(other == NAME))
+        if len(passing):
+            yield batch.take(pa.array(passing, pa.int64()))
+        if len(pairs):
+            yield _batch(other[pairs], key[pairs], _binary(maps))
 
 
 def _bounded(threshold: float):
-    """Pairs whose symmetric difference may be small enough, by the bitmaps' bound."""
+    """Pairs whose symmetric difference may be small enough, by the bitmaps' bound; names pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _gathered(batches)
-        if got is None:
-            return
-        ids, maps, key, other, data, pairs = got
         count = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1).astype(np.int32)
-        for s in range(0, len(pairs), PAIRS_AT_ONCE // 10):
-            at = pairs[s : s + PAIRS_AT_ONCE // 10]
-            sent = np.frombuffer(b"".join(data.take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), -1)
-            place, hit = _attached(ids, key[at])
-            x, y = sent[place], maps[hit]
-            size = sum(np.ascontiguousarray(v[:, :4]).view("<u4").ravel().astype(np.int64) for v in (x, y))
-            apart = count[x[:, 4:] ^ y[:, 4:]].sum(axis=1)
-            good = apart <= size * (1 - threshold) / (1 + threshold) + 1e-9
-            a, b = _distinct(other[at][place][good], key[at][place][good])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        walk = _Sorted()
+        for batch in batches:
+            key, other, data, _, pairs, y = walk.read(batch)
+            names = np.flatnonzero(other == NAME)
+            if len(names):
+                yield batch.take(pa.array(names))
+            if len(pairs):
+                x = _stacked(data, pairs, y.shape[1])
+                size = sum(np.ascontiguousarray(v[:, :4]).view("<u4").ravel().astype(np.int64) for v in (x, y))
+                apart = count[x[:, 4:] ^ y[:, 4:]].sum(axis=1)
+                good = pairs[apart <= size * (1 - threshold) / (1 + threshold) + 1e-9]
+                yield _batch(other[good], key[good], pa.nulls(len(good), pa.binary()))
 
     return run
 
@@ -269,38 +401,55 @@ def _verified(n: int, least_words: int, threshold: float):
             both = np.bincount(own[twice], minlength=count)
             union = np.bincount(own, minlength=count) - both
             good = pa.array(np.flatnonzero((union > 0) & (both >= threshold * union)))
-            yield pa.RecordBatch.from_arrays([batch.column("_name_a").take(good), batch.column("_name_b").take(good)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(good), batch.column("b").take(good)], ["a", "b"])
 
     return run
 
 
-def near_pairs(records: DataFrame, name: str, text: str, shingle: int = 5, threshold: float = 0.8, least_words: int = 0) -> DataFrame:
-    """Pairs of different names whose texts' shingle sets have a Jaccard similarity
-    of at least ``threshold``: ``(a, b)`` with ``a < b``, each pair once.
+def near_classes(records: DataFrame, name: str, text: str, shingle: int = 5, threshold: float = 0.8, least_words: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Links between classes of texts, and the classes' members.
 
-    Rows with a null name or text, and texts of fewer than ``least_words`` words
-    or without a shingle, pair with nothing.  Repeated rows count once; of
-    several texts under one name the smallest stands for it in verification.
-    Further columns are ignored; whole texts are read, whatever their length.
+    A class holds the texts with one and the same shingle set.  Returns ``(links,
+    members)``: ``links(a, b)`` has each pair of classes, ``a < b``, whose sets
+    have a Jaccard similarity of at least ``threshold``; ``members(id, name)``
+    has every name in each of its classes.  Rows with a null name or text, and
+    texts of fewer than ``least_words`` words or without a shingle, are in no
+    class.  Repeated rows count once; a name with several texts is in several
+    classes.  Further columns are ignored; whole texts are read, whatever their
+    length; an empty table gives two empty results.
     """
-    spark = records.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 4 * parts
     docs = records.select(F.col(name).cast("string").alias("_name"), F.col(text).alias("_text")).filter("_name IS NOT NULL AND _text IS NOT NULL")
-    code = F.xxhash64("_name").bitwiseAND(F.lit((1 << ID_BITS) - 1))
-    signed = docs.select(code.alias("_id"), "_text").mapInArrow(_signatures(shingle, least_words, buckets), MIXED)
-    routed = signed.repartition(parts, "key").mapInArrow(_candidates, MIXED)
-    routed = routed.repartition(parts, "key").mapInArrow(_attach, MIXED)
-    close = routed.repartition(parts, "key").mapInArrow(_bounded(threshold), "a long, b long")
-    close = cut(close.distinct())
-    used = close.select(F.col("a").alias("_id")).union(close.select("b")).distinct()
-    texts = docs.withColumn("_id", code).join(used, "_id", "left_semi").groupBy("_id", "_name").agg(F.min("_text").alias("_text"))
-    texts = cut(texts)
-    first = texts.select(F.col("_id").alias("a"), F.col("_name").alias("_name_a"), F.col("_text").alias("_text_a"))
-    second = texts.select(F.col("_id").alias("b"), F.col("_name").alias("_name_b"), F.col("_text").alias("_text_b"))
-    met = close.join(first, "a").join(second, "b").filter("_name_a <> _name_b").select("_name_a", "_name_b", "_text_a", "_text_b")
-    good = met.mapInArrow(_verified(shingle, least_words, threshold), "a string, b string")
-    return good.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rows, volume = docs.agg(F.count("*"), F.sum(F.octet_length("_text"))).first()
+    parts = max(records.sparkSession.sparkContext.defaultParallelism, -(-(volume or 0) // PART_BYTES))
+    plan = allocation(threshold, max(3, len(str(rows)) - 1))
+    signed = docs.mapInArrow(_signatures(shingle, least_words, 4 * parts, plan), MIXED)
+    routed = signed.repartition(parts, "key").sortWithinPartitions("key", "other").mapInArrow(_candidates, MIXED)
+    routed = routed.repartition(parts, "key").mapInArrow(_expanded, MIXED)
+    routed = routed.repartition(parts, "key").sortWithinPartitions("key", "other").mapInArrow(_attached, MIXED)
+    routed = routed.repartition(parts, "key").sortWithinPartitions("key", "other").mapInArrow(_bounded(threshold), MIXED)
+    routed = cut(routed)
+    close = routed.filter(F.col("other") >= 0).select(F.col("key").alias("a"), F.col("other").alias("b"))
+    members = routed.filter(F.col("other") == NAME).select(F.col("key").alias("id"), F.col("data").cast("string").alias("name")).distinct()
+    used = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
+    # One member's text stands for its class.
+    speaker = members.join(used, "id", "left_semi").groupBy("id").agg(F.min("name").alias("_name"))
+    classes = docs.join(speaker, "_name").select("id", "_text")
+    first = classes.select(F.col("id").alias("a"), F.col("_text").alias("_text_a"))
+    second = classes.select(F.col("id").alias("b"), F.col("_text").alias("_text_b"))
+    met = close.join(first, "a").join(second, "b").select("a", "b", "_text_a", "_text_b")
+    links = met.mapInArrow(_verified(shingle, least_words, threshold), "a long, b long").distinct()
+    return links, members
+
+
+def near_pairs(records: DataFrame, name: str, text: str, shingle: int = 5, threshold: float = 0.8, least_words: int = 0) -> DataFrame:
+    """Pairs of different names whose texts' shingle sets are alike: ``(a, b)`` with
+    ``a < b``, each pair once; the links of ``near_classes`` and the classes
+    themselves, written out over their members."""
+    links, members = near_classes(records, name, text, shingle, threshold, least_words)
+    left, right = members.select(F.col("id").alias("a"), F.col("name").alias("_x")), members.select(F.col("id").alias("b"), F.col("name").alias("_y"))
+    across = links.join(left, "a").join(right, "b").select("_x", "_y")
+    within = left.join(right, F.col("a") == F.col("b")).select("_x", "_y").filter("_x < _y")
+    return across.union(within).filter("_x <> _y").select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")).distinct()
 
 
 def alike_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:

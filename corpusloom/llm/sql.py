@@ -82,7 +82,7 @@ gram AS (
 ),
 code AS (SELECT h, row_number() OVER (ORDER BY h) AS d, len(g) AS n, g FROM gram),
 post AS (SELECT d, hash(unnest(g)) AS t FROM code),
-rare AS (SELECT d, t FROM post WHERE t IN (SELECT t FROM post GROUP BY t HAVING count(*) BETWEEN 2 AND 150)),
+rare AS (SELECT d, t FROM post WHERE t IN (SELECT t FROM post GROUP BY t HAVING count(*) > 1)),
 cand AS (SELECT DISTINCT a.d AS a, b.d AS b FROM rare a JOIN rare b ON a.t = b.t AND a.d < b.d),
 meet AS (
   SELECT x.h AS ha, y.h AS hb, x.n AS na, y.n AS nb, len(list_intersect(x.g, y.g)) AS s
