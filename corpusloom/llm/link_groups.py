@@ -85,7 +85,8 @@ def latest_verdicts(judgments: DataFrame) -> DataFrame:
     Of equal times the verdict 1 is kept.
     """
     key = F.regexp_replace(F.lower("pair_key"), r"\s+", "")
-    at = F.try_to_timestamp(F.regexp_replace(F.trim("judged_at"), " ", "T"))
+    said = F.regexp_replace(F.trim("judged_at"), " ", "T")
+    at = F.try_to_timestamp(F.when(said.rlike(r"(?i)(z|[+-]\d\d:?\d\d)$"), said).otherwise(F.concat(said, F.lit("Z"))))
     full = r"^[0-9a-f]{64}:[0-9a-f]{64}$"
     rows = judgments.select(key.alias("_k"), "is_duplicate", at.alias("_at")).filter(
         F.col("_k").rlike(full) & F.col("is_duplicate").isNotNull()
@@ -98,10 +99,9 @@ def latest_verdicts(judgments: DataFrame) -> DataFrame:
     )
 
 
-def skill_links(skills: DataFrame, judgments: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` between skills: equal bodies (as a star around the
-    smallest id of each hash), pointers to a known skill, and verdicts of 1."""
-    now = cut(current_rows(skills, "skill_id", "content_hash", "superseded_by"))
+def links_of(now: DataFrame, judgments: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between the current rows of skills: equal bodies (as a star
+    around the smallest id of each hash), pointers to a known skill, and verdicts of 1."""
     by_hash = now.filter(F.col("content_hash").isNotNull())
     star = cut(by_hash.groupBy("content_hash").agg(F.min("skill_id").alias("rep")))
     same = by_hash.join(star, "content_hash").select(F.col("skill_id").alias("a"), F.col("rep").alias("b")).filter("a <> b")
@@ -119,5 +119,6 @@ def skill_links(skills: DataFrame, judgments: DataFrame) -> DataFrame:
 
 def skill_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(skill_id, group_id)`` of every skill that is linked to another one."""
-    links = skill_links(table(spark, sf_dir, "skills"), table(spark, sf_dir, "dedup_judgments"))
+    now = cut(current_rows(table(spark, sf_dir, "skills"), "skill_id", "content_hash", "superseded_by"))
+    links = links_of(now, table(spark, sf_dir, "dedup_judgments"))
     return connected_groups(links, "a", "b").withColumnRenamed("vertex", "skill_id").select("skill_id", "group_id")
