@@ -1,12 +1,12 @@
 """Problem 7: evaluation texts that leaked into a corpus.
 
-Seeds are word n-grams of the items.  One pass over the corpus finds every
-occurrence of any item n-gram; these hits give the exact document frequency of
-each n-gram, and of every stretch of ``run`` words of an item only the rarest
-n-gram stays as its seed, so a copied stretch always holds a seed.  Around the
-seeds' hits, passages are aligned with their item by Smith-Waterman, which
-scores edited and paraphrased copies; the longest unbroken run of equal words is
-read off the same alignment table.
+Seeds are word n-grams of the items.  A first pass over the corpus counts every
+item n-gram, per task and then in all; of every stretch of ``run`` words of an
+item only the rarest n-gram that the corpus holds stays as its seed, so a copied
+stretch always holds a seed and no seed hits nothing.  A second pass joins
+passages to items by the seeds alone.  Around the hits, passages are aligned
+with their item by Smith-Waterman, which scores copies, edited and paraphrased
+ones too; the longest unbroken run of equal words is read off the same table.
 
 Copies with many small edits hold no long n-gram.  For them, a second pass counts
 word pairs: every edit costs the alignment at least as much as it breaks word
@@ -27,12 +27,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import Words, cut, table
+from corpusloom.llm.common import Words, table
 
 #: Characters of item text that one pass may ship to the workers.
 BLOCK_CHARS = 8_000_000
 SLACK = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
+ALIGNED = "_item int, score int, longest_run int, similarity double"
+BEST = ("score", "longest_run", "similarity")
 
 
 class ItemIndex:
@@ -55,7 +57,9 @@ class ItemIndex:
         return np.where(self.vocabulary[at] == hashes, at, -1).astype(np.int32) if len(self.vocabulary) else np.full(len(hashes), -1, np.int32)
 
     def seeds(self, frequency: np.ndarray, run: int) -> np.ndarray:
-        """Marks, of every ``run`` consecutive words of an item, its rarest n-gram."""
+        """Marks, of every ``run`` consecutive words of an item, its rarest n-gram
+        among those that occur in the corpus at all."""
+        frequency = np.where(frequency > 0, frequency, np.iinfo(np.int64).max)
         chosen = np.zeros(len(self.gram), bool)
         by_item = np.lexsort((self.place, self.item))
         bounds = np.searchsorted(self.item[by_item], np.arange(len(self.items) + 1))
@@ -67,43 +71,61 @@ class ItemIndex:
                 continue
             windows = np.lib.stride_tricks.sliding_window_view(frequency[own], width)
             chosen[own[np.unique(np.arange(len(windows)) + windows.argmin(axis=1))]] = True
-        return chosen
+        return chosen & (frequency < np.iinfo(np.int64).max)
 
 
-def _hits(index, doc_field: pa.Field):
-    """Texts to rows (document, item, n-grams hit, passage as word codes)."""
+def _counted(index):
+    """Texts of a task to the number of them that hold each n-gram of the items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix: ItemIndex = index.value
+        known = np.unique(ix.gram)
+        count = np.zeros(len(known), np.int64)
+        for batch in batches:
+            gram, owner, _ = Words(batch.column(1)).grams(ix.n)
+            at = np.minimum(np.searchsorted(known, gram), max(len(known) - 1, 0))
+            hit = np.flatnonzero(known[at] == gram) if len(known) else np.zeros(0, np.int64)
+            if len(hit):
+                pair = np.unique(owner[hit] * len(known) + at[hit])
+                count += np.bincount(pair % len(known), minlength=len(known))
+        some = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(count[some], pa.int64())], ["g", "n"])
+
+    return run
+
+
+def _hits(index, seeds):
+    """Texts to rows (document, item, passage as word codes) around the seeds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ix: ItemIndex = index.value
+        chosen = seeds.value
+        seed_gram, seed_item, seed_place = ix.gram[chosen], ix.item[chosen], ix.place[chosen]
         for batch in batches:
             words = Words(batch.column(1))
             gram, owner, at = words.grams(ix.n)
-            low, high = np.searchsorted(ix.gram, gram), np.searchsorted(ix.gram, gram, side="right")
+            low, high = np.searchsorted(seed_gram, gram), np.searchsorted(seed_gram, gram, side="right")
             met = np.flatnonzero(high > low)
             if not len(met):
                 continue
             times = (high - low)[met]
             place = np.repeat(met, times)
             entry = low[place] + np.arange(len(place)) - np.repeat(np.cumsum(times) - times, times)
-            doc, item = owner[place], ix.item[entry]
-            start = at[place] - ix.place[entry]
+            doc, item = owner[place], seed_item[entry]
+            start = at[place] - seed_place[entry]
             order = np.lexsort((start, item, doc))
-            doc, item, start, entry = doc[order], item[order], start[order], entry[order]
+            doc, item, start = doc[order], item[order], start[order]
             new = np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (np.diff(start) > ix.length[item[1:]])]
             edges = np.r_[np.flatnonzero(new), len(doc)]
-            rows_doc, rows_item, rows_gram, rows_passage = [], [], [], []
+            rows_doc, rows_item, rows_passage = [], [], []
             for a, b in zip(edges[:-1], edges[1:]):
                 d, i = doc[a], item[a]
                 first = max(words.offset[d], start[a] - SLACK)
                 last = min(words.offset[d + 1], start[b - 1] + ix.length[i] + SLACK)
                 rows_doc.append(d)
                 rows_item.append(i)
-                rows_gram.append(np.unique(entry[a:b]).tolist())
                 rows_passage.append(ix.code(words.hash[first:last]).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows_doc)), pa.array(rows_item, pa.int32()), pa.array(rows_gram, pa.list_(pa.int64())), pa.array(rows_passage, pa.binary())],
-                ["_doc", "_item", "_grams", "_passage"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows_doc)), pa.array(rows_item, pa.int32()), pa.array(rows_passage, pa.binary())], ["_doc", "_item", "_passage"])
 
     return run
 
@@ -156,8 +178,8 @@ def _aligned(index, portion: int = 128):
                 s += len(at)
             full = MATCH * np.maximum(ix.length[which], 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_doc"), batch.column("_item"), pa.array(longest, pa.int32()), pa.array(np.round(score / full, 6), pa.float64())],
-                ["_doc", "_item", "longest_run", "similarity"],
+                [batch.column("_doc"), batch.column("_item"), pa.array(score, pa.int32()), pa.array(longest, pa.int32()), pa.array(np.round(score / full, 6), pa.float64())],
+                ["_doc", "_item", "score", "longest_run", "similarity"],
             )
 
     return run
@@ -165,11 +187,11 @@ def _aligned(index, portion: int = 128):
 
 def eval_leaks(corpus: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, n: int = 8, run: int = 12, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document and item that share a seed: ``(doc_id, item_id,
-    longest_run, similarity)``.
+    score, longest_run, similarity)``.
 
-    ``longest_run`` is the longest unbroken sequence of words of the item in the
-    document (exact wherever it reaches ``run``), ``similarity`` the best local
-    alignment's share of the item's full score.  Case, punctuation, emphasis and
+    ``score`` is that of the best local alignment, ``longest_run`` is the longest unbroken sequence of words of the item in the
+    document (exact wherever it reaches ``run``), ``similarity`` the score's
+    share of the item's full score.  Case, punctuation, emphasis and
     spacing do not matter.  Null texts and ids and items of fewer than ``n``
     words match nothing; of repeated items or documents each distinct id pair
     comes out once with its best values; an empty side gives an empty result.
@@ -186,36 +208,23 @@ def eval_leaks(corpus: DataFrame, doc_id: str, text: str, items: DataFrame, item
         rows = asked.filter(F.pmod(F.xxhash64("_id"), F.lit(blocks)) == block).toArrow()
         index = ItemIndex(rows.column("_words").combine_chunks() if rows.num_rows else pa.array([], pa.string()), n)
         shared = spark.sparkContext.broadcast(index)
-        hits = docs.mapInArrow(_hits(shared, None), f"_doc {doc_type}, _item int, _grams array<bigint>, _passage binary")
-        hits = cut(hits)
-        counts = np.zeros(len(index.gram), np.int64)
+        known, entries = np.unique(index.gram, return_inverse=True)
+        counts = np.zeros(len(known), np.int64)
         # At most one row per n-gram of the block.
-        for r in hits.select("_doc", F.explode("_grams").alias("g")).groupBy("g").agg(F.count("*").alias("n")).toLocalIterator():
+        for r in docs.mapInArrow(_counted(shared), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).toLocalIterator():
             counts[r.g] = r.n
-        seed = spark.sparkContext.broadcast(np.flatnonzero(index.seeds(counts, run)))
-        kept = hits.mapInArrow(_seeded(seed), hits.schema)
-        aligned = kept.mapInArrow(_aligned(shared), f"_doc {doc_type}, _item int, longest_run int, similarity double")
+        seeds = spark.sparkContext.broadcast(np.flatnonzero(index.seeds(counts[entries], run)))
+        hits = docs.mapInArrow(_hits(shared, seeds), f"_doc {doc_type}, _item int, _passage binary")
+        aligned = hits.mapInArrow(_aligned(shared), f"_doc {doc_type}, {ALIGNED}")
         ids = spark.createDataFrame(
             [(k, v) for k, v in enumerate(rows.column("_id").to_pylist())] if rows.num_rows else [],
             "_item int, _id " + item_type.simpleString(),
         )
-        part = aligned.join(ids, "_item").groupBy("_doc", "_id").agg(F.max("longest_run").alias("longest_run"), F.max("similarity").alias("similarity"))
+        part = aligned.join(ids, "_item").groupBy("_doc", "_id").agg(*[F.max(c).alias(c) for c in BEST])
         found = part if found is None else found.unionByName(part)
     if blocks > 1:
-        found = found.groupBy("_doc", "_id").agg(F.max("longest_run").alias("longest_run"), F.max("similarity").alias("similarity"))
-    return found.select(F.col("_doc").alias(doc_id), F.col("_id").alias(item_id), "longest_run", "similarity")
-
-
-def _seeded(seed):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen = seed.value
-        for batch in batches:
-            grams = batch.column("_grams")
-            flat = np.isin(grams.flatten().to_numpy(zero_copy_only=False), chosen)
-            owner = np.repeat(np.arange(batch.num_rows), grams.value_lengths().to_numpy(zero_copy_only=False))
-            yield batch.take(pa.array(np.unique(owner[flat])))
-
-    return run
+        found = found.groupBy("_doc", "_id").agg(*[F.max(c).alias(c) for c in BEST])
+    return found.select(F.col("_doc").alias(doc_id), F.col("_id").alias(item_id), "score", "longest_run", "similarity")
 
 
 def _edited(index, similarity: float, least_words: int, portion: int = 128):
@@ -271,7 +280,7 @@ def _edited(index, similarity: float, least_words: int, portion: int = 128):
 
 def edited_copies(corpus: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, similarity: float = 0.6, least_words: int = 8, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Every document and item whose local alignment reaches ``similarity``:
-    ``(doc_id, item_id, longest_run, similarity)``, for a similarity above 0.5.
+    ``(doc_id, item_id, score, longest_run, similarity)``, for a similarity above 0.5.
 
     Null texts and ids and items of fewer than ``least_words`` words match
     nothing; each pair of ids comes out once with its best values.
@@ -287,11 +296,11 @@ def edited_copies(corpus: DataFrame, doc_id: str, text: str, items: DataFrame, i
         rows = asked.filter(F.pmod(F.xxhash64("_id"), F.lit(blocks)) == block).toArrow()
         index = ItemIndex(rows.column("_words").combine_chunks() if rows.num_rows else pa.array([], pa.string()), 2)
         shared = spark.sparkContext.broadcast(index)
-        aligned = docs.mapInArrow(_edited(shared, similarity, least_words), f"_doc {doc_type}, _item int, longest_run int, similarity double")
+        aligned = docs.mapInArrow(_edited(shared, similarity, least_words), f"_doc {doc_type}, {ALIGNED}")
         ids = spark.createDataFrame(list(enumerate(rows.column("_id").to_pylist())) if rows.num_rows else [], "_item int, _id " + item_type)
         part = aligned.join(ids, "_item").drop("_item")
         found = part if found is None else found.unionByName(part)
-    return found.groupBy(F.col("_doc").alias(doc_id), F.col("_id").alias(item_id)).agg(F.max("longest_run").alias("longest_run"), F.max("similarity").alias("similarity"))
+    return found.groupBy(F.col("_doc").alias(doc_id), F.col("_id").alias(item_id)).agg(*[F.max(c).alias(c) for c in BEST])
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,8 +308,11 @@ def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def leaked_items(spark: SparkSession, sf_dir: str, run: int = 12) -> DataFrame:
-    """``(doc_id, item_id)`` where the document holds ``run`` consecutive words of the item."""
-    return _leaks(spark, sf_dir).filter(F.col("longest_run") >= run).select("doc_id", "item_id")
+    """``(doc_id, item_id)`` where the document holds ``run`` consecutive words of the item.
+
+    Pairs whose alignment scores at least what such a run scores, and then the
+    exact check of the run."""
+    return _leaks(spark, sf_dir).filter((F.col("score") >= MATCH * run) & (F.col("longest_run") >= run)).select("doc_id", "item_id")
 
 
 def leak_report(spark: SparkSession, sf_dir: str, run: int = 12, similarity: float = 0.6) -> DataFrame:
@@ -308,7 +320,7 @@ def leak_report(spark: SparkSession, sf_dir: str, run: int = 12, similarity: flo
     or paraphrased copy that aligns with ``similarity`` of the item."""
     leaks = _leaks(spark, sf_dir)
     copies = edited_copies(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text", similarity)
-    leaks = leaks.unionByName(copies).groupBy("doc_id", "item_id").agg(F.max("longest_run").alias("longest_run"), F.max("similarity").alias("similarity"))
+    leaks = leaks.unionByName(copies).groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in BEST])
     exact, edited = F.col("longest_run") >= run, F.col("similarity") >= similarity
     return (
         leaks.filter(exact | edited).groupBy("item_id")
