@@ -27,6 +27,8 @@ def labels(known, text):
         "Run the export for {{x}} every Monday",
         "Speichere <größe der datei> vor dem nächsten Schritt in der Tabelle",
         "Enter your contract description in this field",
+        "Replace this text with your own branch instructions.",
+        "Short summary of the fixture skill (replace me)",
     ],
 )
 def test_unfilled_text_in_prose_is_residue(known, text):
