@@ -197,6 +197,16 @@ content goes here
 add your content here
 insert text here
 replace this text
+replace this text with your own
+replace this text with your own instructions
+replace this section with your own
+replace me
+short summary of the skill replace me
+short description of the skill replace me
+change me
+write something about your
+tell the reader about
+your own text here
 replace this with a short description
 write a short description here
 enter a description
