@@ -8,7 +8,11 @@ Three sources of evidence meet in one log-odds per text:
   posterior that the fit gives: texts beyond expectation at exactly that length.
 * Form.  How the last line ends: an open code block or front matter, a mark that
   was added at the cut, a line of prose without an end, or a complete list item,
-  table row, link or signature.
+  table row, link or signature.  What each form says is fitted as well: texts at
+  fitted limits show with which forms cuts end, the others with which forms
+  texts end; the shares of both kinds and the shares of forms in them are found
+  together by expectation-maximisation over all texts.  A block left open and a
+  mark of a cut are cuts, a complete end is none, by the problem's statement.
 * Wording.  How often the last word ends a sentence or line anywhere in the
   corpus, against how often it occurs at all and how often it would be left over
   from cutting a longer word.  A sentence with which many texts trail off is a
@@ -34,8 +38,8 @@ from corpusloom.llm.common import Words, clean_source, cut, table
 
 #: Share of cut texts expected where length says nothing.
 PRIOR = 0.05
-#: Fewest texts at one length that may be a limit.
-LEAST_AT_LIMIT = 4
+#: Fewest texts at one length that may be a limit: one alone shows none.
+LEAST_AT_LIMIT = 2
 #: Lengths of which one is expected to be a limit.
 LENGTHS_PER_LIMIT = 20_000
 
@@ -52,21 +56,28 @@ _LINK = re.compile(r"(?:https?://|www\.)\S+\Z|\S+/\S*\.\w{1,5}\Z|\S+@\S+\.\w+\Z|
 _SIGNED = re.compile(r"^\s*(?:--|—|–|~)\s*\S|^\s*(?:best|regards|cheers|thanks|signed|grüße|saludos|cordialement)\b.{0,40}\Z", re.I)
 _END = re.compile(r"[.!?。！？‽؟।]\Z")
 _CLOSERS = " \t\"'”’»)]}*_`>）」』"
-_WORD = re.compile(r"[^\W_]+\Z")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
+_FENCE = re.compile(r"^[^\S\n]*(```|~~~)([^\n]*)", re.M)
+_CLOSE = re.compile(r"\n[^\S\n]*(?:---|\.\.\.)[^\S\n]*(?:\n|\Z)")
+_SENTENCE = re.compile(r"[.!?。！？]\s")
+_RUN = re.compile(r"[^\W_]+")
 
 
 def last_word(line: str) -> str:
-    """The last word of a line, or its last two characters in scripts without blanks."""
-    found = _WORD.search(line)
-    word = found.group().lower() if found else ""
+    """The last word of a line, or its last two characters in scripts without blanks;
+    empty if the line ends in no word."""
+    start = len(line)
+    while start and line[start - 1].isalnum():
+        start -= 1
+    word = line[start:].lower()
     return word[-2:] if word and _CJK.match(word[-1]) else word
 
 
 def tail(body: str) -> str:
     """The last words, twelve at most, of the sentence in which ``body`` ends."""
-    last = re.split(r"[.!?。！？]\s|\n", body[-400:])[-1]
-    return " ".join(re.findall(r"[^\W_]+", last.lower())[-12:])
+    line = body[body.rfind("\n") + 1 :]
+    ends = [m.end() for m in _SENTENCE.finditer(line)]
+    return " ".join(_RUN.findall(line[ends[-1] if ends else 0 :].lower())[-12:])
 
 
 def ending(text: str) -> tuple[str, str]:
@@ -81,25 +92,26 @@ def ending(text: str) -> tuple[str, str]:
     body = text.rstrip()
     if not body:
         return "empty", ""
-    marked = _MARK.search(body)
-    if marked:
+    start = body.rfind("\n") + 1
+    # The last line with the break before it; what is looked for reaches no further back.
+    end = body[max(0, start - 1) :]
+    if _MARK.search(end):
         return "marked", ""
-    dots = _DOTS.search(body)
-    lines = body.split("\n")
-    if body.startswith("---\n") and not any(x.strip() in ("---", "...") for x in lines[1:]):
-        return "open", ""
-    fence = ""
-    for x in lines:
-        x = x.lstrip()
-        if not fence and x.startswith(("```", "~~~")):
-            fence = x[:3]
-        elif fence and x.startswith(fence) and not x.strip("`~ \t\r"):
-            fence = ""
-    if fence:
+    dots = _DOTS.search(end)
+    if body.startswith("---\n") and not _CLOSE.search(body, 3):
         return "open", ""
+    if "```" in body or "~~~" in body:
+        fence = ""
+        for m in _FENCE.finditer(body):
+            if not fence:
+                fence = m[1]
+            elif m[1] == fence and not m[2].strip("`~ \t\r"):
+                fence = ""
+        if fence:
+            return "open", ""
     if dots:
-        return "dots", last_word(body[: dots.start()])
-    line = _ROLE.sub("", lines[-1]).strip()
+        return "dots", last_word(_DOTS.sub("", body[:start] + body[start:][: max(0, dots.start() - (1 if start else 0))]).rstrip(" \t\n,;"))
+    line = _ROLE.sub("", body[start:]).strip()
     if not line or set(line) <= set("`~-=*_"):
         return "whole", ""
     if line.startswith("|"):
@@ -114,13 +126,47 @@ def ending(text: str) -> tuple[str, str]:
     if bare.endswith((":", "：")):
         return "colon", ""
     if _ITEM.match(line) or _HEADING.match(line):
-        return ("item", last_word(bare)) if _WORD.search(bare) else ("broken", "")
+        return ("item", last_word(bare)) if last_word(bare) else ("broken", "")
     return "prose", last_word(bare)
 
 
-#: Log-odds that a text's form alone adds for a cut (``item`` and ``dots`` add
-#: those of their last word, ``dots`` also those of its last sentence).
-FORM = {"open": 12.0, "marked": 12.0, "prose": 8.0, "broken": 6.0, "colon": -1.0, "item": 0.0, "dots": 4.0, "link": -4.0, "signed": -5.0, "whole": -30.0, "empty": -30.0}
+#: How cut and entire texts are expected to end before any is seen, as shares, and
+#: for how many texts each expectation stands beside those counted.
+CUT_FORM = {"prose": 0.8, "broken": 0.02, "colon": 0.005, "item": 0.03, "dots": 0.14, "link": 0.003, "signed": 0.002}
+ENTIRE_FORM = {"prose": 2e-4, "broken": 1e-4, "colon": 0.005, "item": 0.05, "dots": 0.01, "link": 0.05, "signed": 0.03}
+EXPECTED = 20.0
+#: Forms that the problem's statement settles: complete ends, and blocks left open or marks of a cut.
+SETTLED = {"whole": -30.0, "empty": -30.0, "open": 12.0, "marked": 12.0}
+
+
+def form_weights(counts: list[tuple[str, float, int]], rounds: int = 200) -> tuple[dict[str, float], float]:
+    """Log-odds that each form adds for a cut, and the share of cut texts away from limits.
+
+    ``counts`` has the number of texts per form and posterior of their length.
+    Expectation-maximisation over the two kinds of texts; the forms that the
+    problem's statement settles keep their ``SETTLED`` weights."""
+    forms = list(CUT_FORM)
+    levels = np.array(sorted({p for _, p, _ in counts} | {0.0}))
+    place = {p: k for k, p in enumerate(levels.tolist())}
+    n = np.zeros((len(forms), len(levels)))
+    for f, p, k in counts:
+        if f in CUT_FORM:
+            n[forms.index(f), place[p]] += k
+    complete = sum(k for f, _, k in counts if SETTLED.get(f, 0) < 0)
+    settled_cut = sum(k for f, _, k in counts if SETTLED.get(f, 0) > 0)
+    expect_cut, expect_entire = np.array(list(CUT_FORM.values())), np.array([ENTIRE_FORM[f] for f in forms])
+    cut_share, entire_share, base = expect_cut, expect_entire, PRIOR
+    far = levels < 0.5
+    for _ in range(rounds):
+        prior = np.maximum(base, levels)[None, :]
+        ahead = prior * cut_share[:, None]
+        r = ahead / (ahead + (1 - prior) * entire_share[:, None])
+        cut_n, entire_n = (n * r).sum(axis=1) + EXPECTED * expect_cut, (n * (1 - r)).sum(axis=1) + EXPECTED * expect_entire
+        cut_share = cut_n / cut_n.sum()
+        entire_share = entire_n / (entire_n.sum() + complete + EXPECTED * (1 - expect_entire.sum()))
+        base = ((n * r)[:, far].sum() + settled_cut + EXPECTED * PRIOR) / (n[:, far].sum() + settled_cut + complete + EXPECTED)
+        base = float(np.clip(base, 0.005, 0.5))
+    return dict(zip(forms, np.log(cut_share / entire_share).tolist())) | SETTLED, base
 
 
 def _endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,8 +191,8 @@ _BLANK[[ord(c) for c in " \n\r\t"]] = True
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per word its occurrences, its stops (before a full stop or line end, but
-    for the text's own end) and, for what cutting words leaves over, the cuts."""
+    """Per word its occurrences and its stops (before a full stop or line end, but
+    for the text's own end); scripts without blanks count by pairs of characters."""
     for batch in batches:
         words = Words(batch.column(0))
         if not len(words.hash):
@@ -157,26 +203,22 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_end = np.zeros(len(stops), bool)
         own_end[words.offset[1:][words.count > 0] - 1] = True
         _, first, code = np.unique(words.hash, return_index=True, return_inverse=True)
-        n = np.bincount(code)
-        n_stop = np.bincount(code, weights=stops & ~own_end).astype(np.int64)
-        n_inner = n - np.bincount(code, weights=own_end).astype(np.int64)
-        counts: dict[str, list[float]] = {}
-        for k, f in enumerate(first.tolist()):
-            word = words.raw[words.start[f] : words.stop[f]].tobytes().decode("utf-8", "replace")
-            if _CJK.match(word[-1]):
+        n_stop = np.bincount(code, weights=stops & ~own_end)
+        n_inner = np.bincount(code, weights=~own_end)
+        data = words.raw.tobytes()
+        found = [data[a:b].decode("utf-8", "replace") for a, b in zip(words.start[first].tolist(), words.stop[first].tolist())]
+        pairs: dict[str, list[float]] = {}
+        plain = np.ones(len(found), bool)
+        for k, word in enumerate(found):
+            if not word.isascii() and _CJK.match(word[-1]):
+                plain[k] = False
                 for i in range(len(word) - 1):
-                    row = counts.setdefault(word[i : i + 2], [0, 0, 0.0])
-                    row[0] += int(n_inner[k])
-                counts.setdefault(word[-2:], [0, 0, 0.0])[1] += int(n_inner[k])
-                continue
-            row = counts.setdefault(word, [0, 0, 0.0])
-            row[0] += int(n_inner[k])
-            row[1] += int(n_stop[k])
-            for i in range(1, min(len(word), 40)):
-                counts.setdefault(word[:i], [0, 0, 0.0])[2] += float(n_inner[k])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts)), *[pa.array([v[j] for v in counts.values()], pa.float64()) for j in range(3)]], ["word", "n", "stops", "cuts"]
-        )
+                    pairs.setdefault(word[i : i + 2], [0.0, 0.0])[0] += n_inner[k]
+                pairs.setdefault(word[-2:], [0.0, 0.0])[1] += n_inner[k]
+        word = [w for w, p in zip(found, plain) if p] + list(pairs)
+        n = np.r_[n_inner[plain], [v[0] for v in pairs.values()]]
+        stop = np.r_[n_stop[plain], [v[1] for v in pairs.values()]]
+        yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(n, pa.float64()), pa.array(stop, pa.float64())], ["word", "n", "stops"])
 
 
 def censored_fit(count: np.ndarray, s1: np.ndarray, s2: np.ndarray, censored: np.ndarray, limit: np.ndarray, steps: int = 60) -> tuple[np.ndarray, np.ndarray]:
@@ -257,29 +299,41 @@ def cut_texts(documents: DataFrame, doc_id: str, text: str, source: str) -> Data
     ends = ends.withColumn("_src", F.coalesce("_src", F.lit("")))
     placed = ends.join(by_chars, ["_src", "chars"], "left").join(by_bytes, ["_src", "bytes"], "left")
     placed = placed.withColumn("posterior", F.coalesce(F.greatest("_pc", "_pb"), F.lit(0.0)))
-    counts = docs.select("_text").mapInArrow(_word_counts, "word string, n double, stops double, cuts double")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("stops").alias("stops"), F.sum("cuts").alias("cuts"))
-    asked = placed.filter(F.col("form").isin("item", "dots")).select("word").distinct()
-    counts = cut(counts)
-    totals = counts.agg(F.sum("n").alias("n_all"), F.sum("stops").alias("stops_all"), F.sum("cuts").alias("cuts_all")).first()
+    # What the forms say, from each different text once.
+    kinds = placed.groupBy("digest", "form").agg(F.max("posterior").alias("posterior")).groupBy("form", F.round("posterior", 2).alias("p")).agg(F.count("*").alias("n"))
+    weights, base = form_weights([(r.form, r.p, r.n) for r in kinds.collect()])  # at most 101 rows per form
+    form = F.coalesce(*[F.when(F.col("form") == k, F.lit(v)) for k, v in weights.items()])
+    prior = F.greatest(F.lit(base), F.col("posterior"))
+    placed = placed.withColumn("_odds", F.log(prior / (1 - prior)) + form)
+    # Only ends that may be natural ask for their wording; all others are settled.
+    open_, settled = placed.filter(F.col("form").isin("item", "dots")), placed.filter(~F.col("form").isin("item", "dots"))
+    counts = docs.select("_text").mapInArrow(_word_counts, "word string, n double, stops double")
+    counts = cut(counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("stops").alias("stops")))
+    asked = cut(open_.filter("word <> ''").select("word").distinct())
+    lengths = sorted(r.k for r in asked.select(F.length("word").alias("k")).distinct().collect())  # one row per length of a word
+    spelt = counts.filter(~F.col("word").rlike(_CJK.pattern))
+    over = F.filter(F.array(*[F.lit(k) for k in lengths]) if lengths else F.array().cast("array<int>"), lambda k: k < F.length("word"))
+    left = spelt.select(F.explode(F.transform(over, lambda k: F.substring("word", F.lit(1), k))).alias("word"), "n").join(asked, "word", "left_semi")
+    left = left.groupBy("word").agg(F.sum("n").alias("cuts"))
+    totals = counts.agg(F.sum("n"), F.sum("stops"), F.sum(F.when(~F.col("word").rlike(_CJK.pattern), F.col("n") * (F.length("word") - 1)))).first()
     n_all, stops_all, cuts_all = (max(1.0, x or 0.0) for x in totals)
-    wording = counts.join(asked, "word", "left_semi").select("word", "n", "stops", "cuts")
-    ahead = placed.join(wording, "word", "left").na.fill(0.0, ["n", "stops", "cuts"])
+    wording = counts.join(asked, "word", "left_semi").join(left, "word", "left").select("word", "n", "stops", F.coalesce("cuts", F.lit(0.0)).alias("cuts"))
+    ahead = open_.join(wording, "word", "left").na.fill(0.0, ["n", "stops", "cuts"])
     natural = (F.col("stops") + 0.05) / stops_all
     # A fifth of all cuts fall between words, the others inside one.
     severed = 0.2 * (F.col("n") + 0.05) / n_all + 0.8 * (F.col("cuts") + 0.5) / cuts_all
-    said = F.when(F.col("form").isin("item", "dots"), F.greatest(F.lit(-8.0), F.least(F.lit(8.0), F.log(severed / natural)))).otherwise(0.0)
-    stock = cut(placed.filter("form = 'dots'").groupBy("tail").agg(F.countDistinct("digest").alias("_same")))
-    trailing, kinds = stock.agg(F.sum("_same"), F.count("*")).first()
+    said = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), F.log(severed / natural)))
+    stock = cut(open_.filter("form = 'dots'").groupBy("tail").agg(F.countDistinct("digest").alias("_same")))
+    trailing, phrases = stock.agg(F.sum("_same"), F.count("*")).first()
     ahead = ahead.join(stock, "tail", "left")
-    repeated = F.coalesce(-F.log(F.col("_same") * F.lit(float(kinds) / max(1, trailing or 0))), F.lit(0.0))
-    form = F.coalesce(*[F.when(F.col("form") == k, F.lit(v)) for k, v in FORM.items()])
-    prior = F.greatest(F.lit(PRIOR), F.col("posterior"))
-    odds = F.log(prior / (1 - prior)) + form + said + repeated
-    judged = ahead.withColumn("_odds", odds)
-    most = judged.groupBy("digest").agg(F.max("_odds").alias("log_odds"))
-    return judged.join(most, "digest").select(
-        F.col("_doc").alias(doc_id), F.col("_src").alias("source"), "form", F.col("posterior").alias("at_limit"), "word", F.round("log_odds", 6).alias("log_odds"), (F.col("log_odds") > 0).alias("is_cut")
+    repeated = F.coalesce(-F.log(F.col("_same") * F.lit(float(phrases) / max(1, trailing or 0))), F.lit(0.0))
+    kept = ["_doc", "_src", "form", "word", "posterior", "digest", "_odds"]
+    judged = cut(settled.select(*kept).unionByName(ahead.withColumn("_odds", F.col("_odds") + said + repeated).select(*kept)))
+    # Copies that differ in their evidence, as only some of them lie at their source's limit.
+    most = judged.groupBy("digest").agg(F.max("_odds").alias("_most"), F.min("_odds").alias("_least")).filter("_most > _least").select("digest", "_most")
+    odds = F.coalesce("_most", "_odds")
+    return judged.join(most, "digest", "left").select(
+        F.col("_doc").alias(doc_id), F.col("_src").alias("source"), "form", F.col("posterior").alias("at_limit"), "word", F.round(odds, 6).alias("log_odds"), (odds > 0).alias("is_cut")
     )
 
 
