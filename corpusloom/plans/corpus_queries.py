@@ -55,12 +55,17 @@ def judged(spark, sf_dir: str) -> DataFrame:
     return rows.select("content_hash", "at", "score", "subscores", replies.subscores(F.col("subscores")).alias("sub"))
 
 
-JUDGED_SQL = """judged AS (
-  SELECT content_hash, seen, score, subscores, CASE WHEN json_valid(subscores) AND json_type(subscores) = 'OBJECT' THEN {
-    'utility': greatest(0, least(10, trunc(coalesce(try_cast(json_extract_string(subscores, '$.utility') AS double), 0))))::int,
-    'robustness': greatest(0, least(10, trunc(coalesce(try_cast(json_extract_string(subscores, '$.robustness') AS double), 0))))::int,
-    'safety': greatest(0, least(10, trunc(coalesce(try_cast(json_extract_string(subscores, '$.safety') AS double), 0))))::int,
-    'flags': coalesce(try_cast(json_extract(subscores, '$.flags') AS varchar[]), []::varchar[])} END AS sub
+def _score_sql(name: str) -> str:
+    return f"""CASE json_type(subscores, '$.{name}') WHEN 'BOOLEAN' THEN CASE WHEN json_extract_string(subscores, '$.{name}') = 'true' THEN 1 ELSE 0 END
+      WHEN 'UBIGINT' THEN greatest(0, least(10, trunc(json_extract_string(subscores, '$.{name}')::double)))::int WHEN 'BIGINT' THEN greatest(0, least(10, trunc(json_extract_string(subscores, '$.{name}')::double)))::int
+      WHEN 'DOUBLE' THEN greatest(0, least(10, trunc(json_extract_string(subscores, '$.{name}')::double)))::int
+      WHEN 'VARCHAR' THEN CASE WHEN regexp_full_match(trim(json_extract_string(subscores, '$.{name}')), '[+-]?[0-9]+') THEN greatest(0, least(10, json_extract_string(subscores, '$.{name}')::bigint))::int END END"""
+
+
+JUDGED_SQL = f"""judged AS (
+  SELECT content_hash, seen, score, subscores, CASE WHEN json_valid(subscores) AND json_type(subscores) = 'OBJECT' THEN {{
+    'utility': {_score_sql('utility')}, 'robustness': {_score_sql('robustness')}, 'safety': {_score_sql('safety')},
+    'flags': coalesce(try_cast(json_extract(subscores, '$.flags') AS varchar[]), []::varchar[])}} END AS sub
   FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY seen DESC NULLS LAST, score DESC NULLS LAST, subscores DESC NULLS LAST) AS _rn FROM (
     SELECT *, try_cast(CASE WHEN regexp_matches(trim(judged_at), '(Z|[+-][0-9][0-9]:?[0-9][0-9])$') THEN trim(judged_at) ELSE trim(judged_at) || '+00:00' END AS timestamptz) AS seen
     FROM quality_judgments WHERE content_hash IS NOT NULL)) WHERE _rn = 1)"""
@@ -69,9 +74,8 @@ JUDGED_SQL = """judged AS (
 @query(f"SELECT skill_id, sha256({NORM_SQL}) AS computed_hash, sha256({NORM_SQL}) = content_hash AS agrees FROM (SELECT DISTINCT skill_id, body, content_hash FROM skills)")
 def content_hashes(spark, sf_dir):
     """Content hash recomputed from every distinct state's body."""
-    rows = read(spark, sf_dir, "skills").select("skill_id", "body", "content_hash").distinct()
-    own = text.content_hash("body")
-    return rows.select("skill_id", own.alias("computed_hash"), (own == F.col("content_hash")).alias("agrees"))
+    rows = read(spark, sf_dir, "skills").select("skill_id", "content_hash", F.sha2("body", 256).alias("state"), text.content_hash("body").alias("computed_hash")).distinct()
+    return rows.select("skill_id", "computed_hash", (F.col("computed_hash") == F.col("content_hash")).alias("agrees"))
 
 
 @query(f"""WITH {NOW_SQL}, h AS (SELECT skill_id, source, sha256({NORM_SQL}) AS hash FROM now)
@@ -98,40 +102,48 @@ def slug_ids_names(spark, sf_dir):
     ).distinct()
 
 
-LEVELS = """CASE WHEN name IS NULL OR description IS NULL OR trim(description) = '' OR NOT regexp_full_match(trim(name), '[a-z0-9][a-z0-9-]{0,63}') THEN 'rejected_parse'
+GATES = """CASE WHEN name IS NULL OR description IS NULL OR trim(description) = '' OR NOT regexp_full_match(trim(name), '[a-z0-9][a-z0-9-]{0,63}') THEN 'rejected_parse'
  WHEN regexp_matches(lower(concat_ws(chr(10), name, description, body)), 'clawdauthenticatortool') THEN 'rejected_safety'
- WHEN length(body) < 300 OR length(body) > 50000 OR length(trim(description)) < 20 THEN 'rejected_quality'
- WHEN skill_id <> min(skill_id) OVER (PARTITION BY content_hash) THEN 'duplicate' ELSE 'accepted' END"""
+ WHEN length(body) < 300 OR length(body) > 50000 OR length(trim(description)) < 20 THEN 'rejected_quality' END"""
+STATUS_SQL = f"""gated AS (SELECT *, {GATES} AS gate FROM now),
+ kept AS (SELECT content_hash, min(skill_id) AS first_id FROM gated WHERE gate IS NULL GROUP BY content_hash),
+ s AS (SELECT g.skill_id, g.source, g.body, g.description, coalesce(gate, CASE WHEN g.skill_id <> first_id THEN 'duplicate' ELSE 'accepted' END) AS status FROM gated g LEFT JOIN kept USING (content_hash))"""
 
 
 def ingest_status_rows(rows: DataFrame) -> DataFrame:
-    """The first gate that a row fails, in order, and whether it repeats a body."""
+    """The first gate that each record fails, in order, and whether it repeats the
+    body of a record that passed them (of one body the smallest id is stored).
+
+    Every row is reduced to gate, lengths and hash before anything is shuffled."""
     body = F.col("body")
     named = F.col("name").isNotNull() & F.trim("name").rlike(r"^[a-z0-9][a-z0-9\-]{0,63}\z") & (F.trim("description") != "")
     blocked = F.concat_ws("\n", "name", "description", "body").rlike("(?i)ClawdAuthenticatorTool")
     size = (F.length(body) < 300) | (F.length(body) > 50000) | (F.length(F.trim("description")) < 20)
-    first = F.min("skill_id").over(Window.partitionBy("content_hash"))
     reason = (
         F.when(F.length(body) < 300, F.format_string("body too short (%d)", F.length(body)))
         .when(F.length(body) > 50000, F.format_string("body too long (%d)", F.length(body)))
         .when(F.length(F.trim("description")) < 20, F.format_string("description too short (%d)", F.length(F.trim("description"))))
     )
-    status = (
-        F.when(~F.coalesce(named, F.lit(False)), "rejected_parse").when(blocked, "rejected_safety").when(size, "rejected_quality")
-        .when(F.col("skill_id") != first, "duplicate").otherwise("accepted")
-    )
-    return rows.select("skill_id", "source", status.alias("status"), F.when(status == "rejected_quality", reason).alias("reason"))
+    gate = F.when(~F.coalesce(named, F.lit(False)), "rejected_parse").when(blocked, "rejected_safety").when(size, "rejected_quality")
+    narrow = rows.select("skill_id", "updated_at", "source", "content_hash", gate.alias("gate"), F.when(gate == "rejected_quality", reason).alias("reason"))
+    return records.latest(narrow, "skill_id", "updated_at", ["source", "content_hash", "gate", "reason"])
+
+
+def with_duplicates(gated: DataFrame) -> DataFrame:
+    first = gated.filter("gate IS NULL").groupBy("content_hash").agg(F.min("skill_id").alias("first_id"))
+    status = F.coalesce("gate", F.when(F.col("skill_id") != F.col("first_id"), "duplicate").otherwise("accepted"))
+    return gated.join(first, "content_hash", "left").select("skill_id", "source", status.alias("status"), "reason")
 
 
-@query(f"""WITH {NOW_SQL}, s AS (SELECT skill_id, source, body, description, {LEVELS} AS status FROM now)
+@query(f"""WITH {NOW_SQL}, {STATUS_SQL}
 SELECT skill_id, source, status, CASE WHEN status = 'rejected_quality' THEN CASE WHEN length(body) < 300 THEN format('body too short ({{}})', length(body))
  WHEN length(body) > 50000 THEN format('body too long ({{}})', length(body)) ELSE format('description too short ({{}})', length(trim(description))) END END AS reason FROM s""")
 def ingest_status(spark, sf_dir):
     """Outcome of the ingest gates for every current skill."""
-    return ingest_status_rows(now(spark, sf_dir, "name", "description", "body", "source", "content_hash"))
+    return with_duplicates(ingest_status_rows(read(spark, sf_dir, "skills")))
 
 
-@query(f"""WITH {NOW_SQL}, s AS (SELECT {LEVELS} AS status FROM now), spine AS (SELECT unnest(['accepted','duplicate','rejected_parse','rejected_safety','rejected_quality']) AS status)
+@query(f"""WITH {NOW_SQL}, {STATUS_SQL}, spine AS (SELECT unnest(['accepted','duplicate','rejected_parse','rejected_safety','rejected_quality']) AS status)
 SELECT spine.status, count(s.status) AS n FROM spine LEFT JOIN s USING (status) GROUP BY spine.status""")
 def ingest_counts(spark, sf_dir):
     """Counts of the ingest outcomes, zeros included."""
@@ -198,8 +210,10 @@ def tags_top5(spark, sf_dir):
  c AS (SELECT n.*, j.score AS js, coalesce(w.prior, 0.5) AS prior, length(body) AS bl, length(description) AS dl FROM now n LEFT JOIN judged j USING (content_hash) LEFT JOIN w ON w.src = lower(trim(n.source))),
  f AS (SELECT *, CASE WHEN js IS NOT NULL THEN greatest(0.0, least(1.0, js / 10)) ELSE 0.5
    + 0.1 * CASE WHEN bl < 300 THEN 0.0 WHEN bl < 1000 THEN 0.3 + (bl - 300)::double / 700 * 0.4 WHEN bl <= 10000 THEN 1.0 WHEN bl <= 30000 THEN 1.0 - (bl - 10000)::double / 20000 * 0.4 WHEN bl <= 50000 THEN 0.6 - (bl - 30000)::double / 20000 * 0.3 ELSE 0.0 END
-   + 0.05 * CASE WHEN dl < 20 THEN 0.0 WHEN dl < 60 THEN 0.5 WHEN dl <= 1024 THEN 1.0 ELSE 0.8 END END AS content FROM c)
-SELECT skill_id, floor(greatest(0.0, least(1.0, 0.85 * content + 0.15 * prior + (CASE WHEN has_scripts THEN 0.05::double ELSE 0::double END + CASE WHEN has_references THEN 0.02::double ELSE 0::double END))) * 1000.0 + 0.5) / 1000.0 AS quality FROM f""")
+   + 0.05 * CASE WHEN dl < 20 THEN 0.0 WHEN dl < 60 THEN 0.5 WHEN dl <= 1024 THEN 1.0 ELSE 0.8 END
+   + 0.05 * least(1.0::double, len(list_filter(CASE WHEN json_valid(frontmatter_raw) AND json_type(frontmatter_raw) = 'OBJECT' THEN json_keys(frontmatter_raw) ELSE [] END,
+      lambda k: k IN ('license','version','tags','metadata','allowed-tools','compatibility','homepage','emoji','category','source','risk'))) / 4.0::double) END AS content FROM c)
+SELECT skill_id, CASE WHEN len(list_filter(coalesce(try_cast(CASE WHEN json_valid(safety_flags) THEN safety_flags END AS varchar[]), []), lambda f: starts_with(f, 'blocked.'))) > 0 THEN 0.0 ELSE floor(greatest(0.0, least(1.0, 0.85 * content + 0.15 * prior + (CASE WHEN has_scripts THEN 0.05::double ELSE 0::double END + CASE WHEN has_references THEN 0.02::double ELSE 0::double END))) * 1000.0 + 0.5) / 1000.0 END AS quality FROM f""")
 def quality_score(spark, sf_dir):
     """Quality recomputed from judgement (or structure), source prior and extras; 0 where a safety flag blocks."""
     rows = now(spark, sf_dir, "source", "body", "description", "frontmatter_raw", "content_hash", "safety_flags", "has_scripts", "has_references")
@@ -230,19 +244,19 @@ def judgment_stats(spark, sf_dir):
 
 @query(f"""WITH {JUDGED_SQL} SELECT content_hash, CASE WHEN sub.safety < 3 OR list_has_any(sub.flags, ['prompt_injection','cmd_injection','unsafe_exec','auth_bypass','csam_risk']) THEN 0.0 ELSE
  floor(greatest(0.0, CASE WHEN sub.safety / 10.0::double < 0.7 THEN (0.5 * (sub.utility / 10.0::double) + 0.35 * (sub.robustness / 10.0::double) + 0.15 * (sub.safety / 10.0::double)) * (0.5 + 0.5 * ((sub.safety / 10.0::double - 0.3) / 0.4))
- ELSE 0.5 * (sub.utility / 10.0::double) + 0.35 * (sub.robustness / 10.0::double) + 0.15 * (sub.safety / 10.0::double) END) * 10.0 * 100.0 + 0.5) / 100.0 END AS content FROM judged WHERE sub IS NOT NULL""")
+ ELSE 0.5 * (sub.utility / 10.0::double) + 0.35 * (sub.robustness / 10.0::double) + 0.15 * (sub.safety / 10.0::double) END) * 10.0 * 100.0 + 0.5) / 100.0 END AS content FROM judged WHERE sub.utility IS NOT NULL AND sub.robustness IS NOT NULL AND sub.safety IS NOT NULL""")
 def judged_contents(spark, sf_dir):
     """Content score of each judgement from its three scores and flags."""
     sub = F.col("sub")
-    return judged(spark, sf_dir).filter("sub IS NOT NULL").select("content_hash", scores.judged_content(sub["utility"], sub["robustness"], sub["safety"], sub["flags"]).alias("content"))
+    return judged(spark, sf_dir).filter("sub.utility IS NOT NULL AND sub.robustness IS NOT NULL AND sub.safety IS NOT NULL").select("content_hash", scores.judged_content(sub["utility"], sub["robustness"], sub["safety"], sub["flags"]).alias("content"))
 
 
 @query(f"""WITH {NOW_SQL}, {JUDGED_SQL} SELECT skill_id FROM now n JOIN judged j USING (content_hash)
- WHERE NOT n.deleted AND sub IS NOT NULL AND (sub.safety < 3 OR list_has_any(sub.flags, ['prompt_injection','cmd_injection','unsafe_exec','auth_bypass','csam_risk']))""")
+ WHERE NOT n.deleted AND sub IS NOT NULL AND ((json_type(subscores, '$.safety') IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND json_extract_string(subscores, '$.safety')::double < 3)
+ OR list_has_any(sub.flags, ['prompt_injection','cmd_injection','unsafe_exec','auth_bypass','csam_risk']))""")
 def safety_gate(spark, sf_dir):
-    """Live skills whose judgement has a low safety score or a hard flag."""
-    hard = F.array(*[F.lit(f) for f in scores.HARD_FLAGS])
-    bad = judged(spark, sf_dir).filter((F.col("sub.safety") < 3) | F.arrays_overlap(F.col("sub.flags"), hard))
+    """Live skills whose judgement has a safety number below 3 or a hard flag; a missing or boolean safety excludes nothing."""
+    bad = judged(spark, sf_dir).filter(replies.unsafe(F.col("subscores"), scores.HARD_FLAGS))
     return now(spark, sf_dir, "content_hash", "deleted").filter("NOT deleted").join(bad.select("content_hash"), "content_hash", "left_semi").select("skill_id")
 
 
@@ -266,7 +280,7 @@ def source_consistency(spark, sf_dir):
 
 
 @query(f"""WITH {NOW_SQL}, {JUDGED_SQL} SELECT skill_id, name, lower(trim(source)) AS source, license, category, array_to_string(coalesce(try_cast(CASE WHEN json_valid(tags) THEN tags END AS varchar[]), []), ',') AS tags,
- sub.utility AS utility, sub.robustness AS robustness, sub.safety AS safety, array_to_string(sub.flags, ',') AS flags, content_hash, body_tokens, has_scripts, has_references,
+ sub.utility::double AS utility, sub.robustness::double AS robustness, sub.safety::double AS safety, array_to_string(sub.flags, ',') AS flags, content_hash, body_tokens, has_scripts, has_references,
  CASE WHEN has_scripts OR has_references THEN replace(skill_id, '/', '__') END AS attachment_path FROM now n LEFT JOIN judged j USING (content_hash) WHERE NOT deleted AND active""")
 def corpus_export(spark, sf_dir):
     """Publishable skills with parsed tags and judgement (the nested export, flattened)."""
@@ -274,7 +288,7 @@ def corpus_export(spark, sf_dir):
     out = rows.join(judged(spark, sf_dir).select("content_hash", "sub"), "content_hash", "left")
     return out.select(
         "skill_id", "name", F.lower(F.trim("source")).alias("source"), "license", "category", F.array_join(replies.string_list(F.col("tags")), ",").alias("tags"),
-        F.col("sub.utility").cast("int").alias("utility"), F.col("sub.robustness").cast("int").alias("robustness"), F.col("sub.safety").cast("int").alias("safety"), F.array_join("sub.flags", ",").alias("flags"),
+        F.col("sub.utility").cast("double").alias("utility"), F.col("sub.robustness").cast("double").alias("robustness"), F.col("sub.safety").cast("double").alias("safety"), F.array_join("sub.flags", ",").alias("flags"),
         "content_hash", "body_tokens", "has_scripts", "has_references", F.when(F.col("has_scripts") | F.col("has_references"), F.replace("skill_id", F.lit("/"), F.lit("__"))).alias("attachment_path"),
     )
 
