@@ -199,14 +199,14 @@ def query_terms(query: ColumnLike) -> Column:
     kept = F.filter(raw, lambda t: (F.length(t) >= 2) & ~F.array_contains(stop, t))
     bare = F.transform(kept, lambda t: F.regexp_replace(t, r"^[.\-]+|[.\-]+$", ""))
     known = F.create_map(*[x for k, v in QUERY_ALIASES.items() for x in (F.lit(k), words_array(v))])
-    terms = F.flatten(F.transform(bare, lambda t: F.coalesce(known[t], F.array(light_stem(t)))))
+    terms = F.flatten(F.transform(bare, lambda t: F.coalesce(F.try_element_at(known, t), F.array(light_stem(t)))))
     return F.array_distinct(F.filter(terms, lambda t: (t != "") & ~F.array_contains(stop, t)))
 
 
 def holds_term(text: Column, term: Column) -> Column:
     """Latin terms must stand as words of their own, others may be anywhere."""
     latin = term.rlike(r"^[a-z0-9+#.\-]+$")
-    alone = text.rlike(F.concat(F.lit(r"(^|[^a-z0-9])\Q"), term, F.lit(r"\E([^a-z0-9]|$)")))
+    alone = F.rlike(text, F.concat(F.lit(r"(^|[^a-z0-9])\Q"), term, F.lit(r"\E([^a-z0-9]|$)")))
     return F.when(latin, alone).otherwise(text.contains(term))
 
 

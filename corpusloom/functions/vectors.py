@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,3 +44,21 @@ def project_out(v: Column, basis: list[list[float]], rescale: bool = False) -> C
         along = dot(v, axis)
         out = F.zip_with(out, axis, lambda x, y, a=along: x - a * y)
     return unit(out) if rescale else out
+
+
+def otsu(rows: DataFrame, value: str, weight: str, low: float, high: float, bins: int = 256) -> float:
+    """The threshold between two classes of ``value`` with the largest variance between
+    them: the middle of one of ``bins`` equal bins from ``low`` to ``high``.
+
+    The histogram is one aggregate; only its bins reach the cumulative window and the driver."""
+    if low is None or high <= low:
+        return low if low is not None else 0.0
+    bin_ = F.least(F.floor((F.col(value) - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
+    hist = rows.groupBy(bin_.alias("bin")).agg(F.sum(F.col(weight).cast("double")).alias("m"))
+    mid = low + (F.col("bin") + 0.5) * (high - low) / bins
+    order = Window.orderBy("bin")
+    p = hist.withColumn("mid", mid).withColumn("p", F.col("m") / F.sum("m").over(Window.partitionBy()))
+    c = p.select("bin", "mid", F.sum("p").over(order).alias("c"), F.sum(F.col("p") * F.col("mid")).over(order).alias("mu"), F.sum(F.col("p") * F.col("mid")).over(Window.partitionBy()).alias("total"))
+    between = F.round((F.col("total") * F.col("c") - F.col("mu")) * (F.col("total") * F.col("c") - F.col("mu")) / (F.col("c") * (1 - F.col("c"))), 9)
+    best = c.filter(F.col("c") < 1 - 1e-12).agg(F.max_by("mid", F.struct(between, -F.col("bin")))).first()[0]
+    return best if best is not None else low
