@@ -57,3 +57,18 @@ def licence_sql(field: str) -> str:
     whens = [f"WHEN {form[k].format(low, v)} THEN {'NULL' if n is None else repr(n)}" for k, v, n in RULES]
     junk = ", ".join(f"'{j}'" for j in JUNK)
     return f"CASE WHEN {field} IS NULL OR trim({field}) IN ({junk}) THEN NULL {' '.join(whens)} END"
+
+
+# The tiers of licences, and the states that are none.
+GREEN = ["Apache-2.0", "BSD", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "CC0-1.0", "ISC", "MIT", "MIT-0", "MPL-2.0", "Mulan-PSL-2.0", "Unlicense", "WTFPL"]
+RED = [
+    "AGPL-1.0", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "GPL-2.0", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "CC-BY-NC-4.0",
+    "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "FSL-1.1", "FSL-1.1-MIT", "FSL-1.1-Apache-2.0", "PolyForm-NC-1.0", "PolyForm-Noncommercial-1.0.0", "BUSL-1.1", "Proprietary",
+]
+YELLOW = ["LGPL-2.1", "LGPL-3.0", "LGPL-3.0-only", "CC-BY-SA-4.0", "CC-BY-4.0", "EPL-2.0"]
+MISSING = ["NO_LICENSE", "SOURCE_NOT_FETCHED", "Custom", "NOASSERTION"]
+
+
+def licence_tier(identifier: Column) -> Column:
+    """The tier of a licence identifier; a null is OTHER."""
+    return F.when(identifier.isin(GREEN), "GREEN").when(identifier.isin(RED), "RED").when(identifier.isin(YELLOW), "YELLOW").when(identifier.isin(MISSING), "MISSING").otherwise("OTHER")

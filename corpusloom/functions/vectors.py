@@ -41,11 +41,14 @@ def project_out(v: Column, basis: list[list[float]], rescale: bool = False) -> C
     out = doubles(v)
     for row in basis:
         axis = F.array(*[F.lit(float(x)) for x in row])
-        along = dot(v, axis)
-        out = F.zip_with(out, axis, lambda x, y, a=along: x - a * y)
+        out = _less(out, axis, dot(v, axis))
     return unit(out) if rescale else out
 
 
+def _less(v: Column, axis: Column, along: Column) -> Column:
+    return F.zip_with(v, axis, lambda x, y: x - along * y)
+
+
 def otsu(rows: DataFrame, value: str, weight: str, low: float, high: float, bins: int = 256) -> float:
     """The threshold between two classes of ``value`` with the largest variance between
     them: the middle of one of ``bins`` equal bins from ``low`` to ``high``.
@@ -62,3 +65,42 @@ def otsu(rows: DataFrame, value: str, weight: str, low: float, high: float, bins
     between = F.round((F.col("total") * F.col("c") - F.col("mu")) * (F.col("total") * F.col("c") - F.col("mu")) / (F.col("c") * (1 - F.col("c"))), 9)
     best = c.filter(F.col("c") < 1 - 1e-12).agg(F.max_by("mid", F.struct(between, -F.col("bin")))).first()[0]
     return best if best is not None else low
+
+
+def group_mean(rows: DataFrame, group: str, vector: str) -> DataFrame:
+    """``(group, mean)``: mean vectors by dimension, aggregated on the map side; null vectors are left out."""
+    flat = rows.filter(F.col(vector).isNotNull()).select(group, F.posexplode(doubles(F.col(vector))).alias("_i", "_x"))
+    means = flat.groupBy(group, "_i").agg(F.avg("_x").alias("_x"))
+    return means.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x"))), lambda p: p["_x"]).alias("mean"))
+
+
+def leading_directions(rows: DataFrame, vector: str, k: int) -> list[list[float]]:
+    """The ``k`` leading right singular vectors of the uncentred matrix of all vectors.
+
+    Every task adds up its part of the Gram matrix (dimension by dimension, so its
+    size is that of the vectors, not of the rows); the parts are summed and its
+    eigenvectors taken on the driver.  Signs are fixed so that the largest entry is
+    positive.  Null vectors are left out; without any the result is empty."""
+    import numpy as np
+    import pandas as pd
+
+    def parts(batches):
+        total = None
+        for batch in batches:
+            x = np.array(batch["_v"].tolist(), float)
+            if len(x):
+                total = x.T @ x if total is None else total + x.T @ x
+        if total is not None:
+            yield pd.DataFrame({"i": range(len(total)), "row": list(total)})
+
+    made = rows.filter(F.col(vector).isNotNull()).select(doubles(F.col(vector)).alias("_v")).mapInPandas(parts, "i int, row array<double>")
+    summed = made.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x")).collect()  # dimension squared
+    if not summed:
+        return []
+    size = max(r.i for r in summed) + 1
+    gram = np.zeros((size, size))
+    for r in summed:
+        gram[r.i, r.j] = r.x
+    _, directions = np.linalg.eigh(gram)
+    top = directions[:, ::-1][:, :k].T
+    return [list(map(float, v * np.sign(v[np.argmax(np.abs(v))]))) for v in top]

@@ -85,25 +85,43 @@ def merged_candidates(by_name: DataFrame, by_vector: DataFrame, least: float) ->
     return both.select("a", "b", F.coalesce("_c", F.lit(least)).alias("cos"), trigger.alias("trigger"))
 
 
+def pick_winner(a: Column, b: Column, tolerance: float = 1e-6) -> Column:
+    """Whether the first of two records is kept: by quality (within ``tolerance``),
+    then weight, then the later addition; in a full tie the second stays.
+
+    ``a`` and ``b`` are structs ``(quality, weight, added_at)``; nulls count lowest."""
+    q = lambda x: F.coalesce(x["quality"], F.lit(0.0))
+    w = lambda x: F.coalesce(x["weight"], F.lit(0.5))
+    later = F.coalesce(a["added_at"] > b["added_at"], a["added_at"].isNotNull())
+    return (
+        F.when(q(a) > q(b) + tolerance, True).when(q(b) > q(a) + tolerance, False)
+        .when(w(a) > w(b), True).when(w(b) > w(a), False).otherwise(later)
+    )
+
+
 def greedy_merge(pairs: DataFrame, rank: list[Column]) -> DataFrame:
     """Which confirmed pairs ``(a, b, winner)`` apply when taken in ``rank`` order and
     a pair is skipped once one of its sides has lost: ``(loser, winner)``.
 
-    Solved in rounds: a pair whose both sides appear in no better open pair can be
-    decided at once; what its loser's other pairs wait for is then settled.  Every
-    round decides at least the best open pair of each connected group.
+    Solved in rounds: a pair that is the best open one of both its sides is decided
+    at once, and the open pairs of its loser go.  Every round decides at least the
+    best open pair of each connected group.  Pairs are compared by their rank itself
+    (ties by ``a`` and ``b``), so nothing is ever sorted as a whole; every round is
+    written to the checkpoint folder.  Pairs with a null side are dropped.
     """
-    order = pairs.select("a", "b", "winner", F.row_number().over(Window.orderBy(*rank)).alias("_r"))
-    open_ = order.checkpoint() if order.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else order.persist()
-    done = None
+    key = F.struct(*[c.alias(f"r{i}") for i, c in enumerate(rank)], "a", "b")
+    open_ = pairs.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b", "winner", key.alias("_r")).checkpoint()
+    rounds: list[DataFrame] = []
     while not open_.isEmpty():
         ends = open_.select(F.col("a").alias("x"), "_r").union(open_.select("b", "_r"))
         first = ends.groupBy("x").agg(F.min("_r").alias("_first"))
-        best = open_.join(first.select(F.col("x").alias("a"), F.col("_first").alias("_fa")), "a").join(first.select(F.col("x").alias("b"), F.col("_first").alias("_fb")), "b")
+        best = open_.join(first.withColumnsRenamed({"x": "a", "_first": "_fa"}), "a").join(first.withColumnsRenamed({"x": "b", "_first": "_fb"}), "b")
         now = best.filter((F.col("_fa") == F.col("_r")) & (F.col("_fb") == F.col("_r")))
-        now = now.select("_r", "winner", F.when(F.col("winner") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("loser")).persist()
-        done = now.select("loser", "winner") if done is None else done.union(now.select("loser", "winner"))
+        now = now.select("winner", F.when(F.col("winner") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("loser")).distinct().checkpoint()
+        rounds.append(now)
         dead = now.select("loser")
-        open_ = open_.join(now.select("_r"), "_r", "left_anti").join(dead.withColumnRenamed("loser", "a"), "a", "left_anti").join(dead.withColumnRenamed("loser", "b"), "b", "left_anti").select("a", "b", "winner", "_r")
-        open_ = open_.checkpoint() if order.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else open_.persist()
-    return done if done is not None else pairs.select(F.col("a").alias("loser"), "winner").limit(0)
+        open_ = open_.join(dead.withColumnRenamed("loser", "a"), "a", "left_anti").join(dead.withColumnRenamed("loser", "b"), "b", "left_anti").select("a", "b", "winner", "_r").checkpoint()
+    done = pairs.select(F.col("a").alias("loser"), "winner").limit(0)
+    for part in rounds:
+        done = done.unionByName(part)
+    return done
