@@ -24,10 +24,15 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(size == 0, 0.0).otherwise(dot(a, b) / size)
 
 
+def _scaled(v: Column, factor: Column) -> Column:
+    """``factor`` times ``v``; the factor stands in an array, as inside a lambda it would be computed anew for every element."""
+    return F.zip_with(v, F.array_repeat(factor, F.size(v)), lambda x, y: x * y)
+
+
 def unit(a: Column) -> Column:
     """Unit length; a vector without length stays as it is."""
-    size = norm(a)
-    return F.transform(doubles(a), lambda x: F.when(size == 0, x).otherwise(x / size))
+    v = doubles(a)
+    return F.zip_with(v, F.array_repeat(norm(a), F.size(v)), lambda x, y: F.when(y == 0, x).otherwise(x / y))
 
 
 def blend(base: Column, extra: Column, weight: float) -> Column:
@@ -46,7 +51,7 @@ def project_out(v: Column, basis: list[list[float]], rescale: bool = False) -> C
 
 
 def _less(v: Column, axis: Column, along: Column) -> Column:
-    return F.zip_with(v, axis, lambda x, y: x - along * y)
+    return F.zip_with(v, _scaled(axis, along), lambda x, y: x - y)
 
 
 def otsu(rows: DataFrame, value: str, weight: str, low: float, high: float, bins: int = 256) -> float:
