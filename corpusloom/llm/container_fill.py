@@ -29,23 +29,22 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PORTION = 5_000
 
 
-def _encoder(path: str, loaded: dict = {}):  # noqa: B006
-    if path not in loaded:
+def _encoder(ranks: bytes, loaded: dict = {}):  # noqa: B006
+    if loaded.get("ranks") is not ranks:
         import base64
 
         import tiktoken
 
-        with open(path, "rb") as file:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        loaded[path] = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return loaded[path]
+        table_ = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+        loaded.update(ranks=ranks, made=tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table_, special_tokens={}))
+    return loaded["made"]
 
 
-def _measured(path: str, capacity: int):
+def _measured(shared, capacity: int):
     """Texts to rows (document, piece, tokens); a longer text gives full pieces and a rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = _encoder(shared.value)
         for batch in batches:
             size = np.array([len(encoder.encode_ordinary(t)) if t else 0 for t in batch.column(1).to_pylist()], np.int64)
             pieces = np.maximum(1, -(-size // capacity))
@@ -157,7 +156,10 @@ def fill_containers(documents: DataFrame, doc_id: str, text: str, capacity: int
     """
     docs = documents.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text"))
     kind = docs.schema["_doc"].dataType.simpleString()
-    sizes = cut(docs.mapInArrow(_measured(vocabulary, capacity), f"_doc {kind}, piece int, tokens int"))
+    # The rank file (a few MB, whatever the data) is read once and shipped, so no worker needs the folder.
+    with open(vocabulary, "rb") as file:
+        shared = documents.sparkSession.sparkContext.broadcast(file.read())
+    sizes = cut(docs.mapInArrow(_measured(shared, capacity), f"_doc {kind}, piece int, tokens int"))
     portions = max(1, -(-sizes.count() // portion))
     dealt = sizes.withColumn("_portion", F.pmod(F.monotonically_increasing_id() + F.shiftrightunsigned(F.monotonically_increasing_id(), 33), F.lit(portions)))
 

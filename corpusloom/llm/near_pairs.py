@@ -13,8 +13,8 @@ either side.
 ``allocation`` sets, per band, how many shingles a segment holds and which
 subsets and neighbourhoods are indexed: the cheapest choice (entries, and false
 candidates among so many records) under which a pair exactly at the threshold
-shares no signature with a chance of at most ``MISS``; pairs further above it
-are missed still less.  The choice depends on the size alone: a subset is never
+shares no signature with a chance of at most ``MISS`` (its root for pairs across
+a band's edge); pairs further above it are missed still less.  The choice depends on the size alone: a subset is never
 left out for how many sets share it.
 
 Candidates pass an exact lower bound on the symmetric difference (hashed
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import cut, mix64, shingle_sets, table
 
-#: Chance that a pair exactly at the threshold shares no signature in either of its two bands.
+#: Chance that a pair exactly at the threshold shares no signature in either of its two
+#: bands; a pair across a band's edge shares one band, and its bound is the root of this.
 MISS = 0.02
 #: Share of records that hold a given shingle of another record, as the cost model sees it.
 SHARED = 0.1
