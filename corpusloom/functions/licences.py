@@ -50,15 +50,6 @@ def licence_id(field: Column) -> Column:
     return out.otherwise(F.lit(None).cast("string"))
 
 
-def licence_sql(field: str) -> str:
-    """The same ladder as an SQL expression."""
-    low = f"lower(trim({field}))"
-    form = {"starts": "starts_with({0}, '{1}')", "has": "contains({0}, '{1}')", "regex": "regexp_matches({0}, '{1}')", "is": "{0} = '{1}'"}
-    whens = [f"WHEN {form[k].format(low, v)} THEN {'NULL' if n is None else repr(n)}" for k, v, n in RULES]
-    junk = ", ".join(f"'{j}'" for j in JUNK)
-    return f"CASE WHEN {field} IS NULL OR trim({field}) IN ({junk}) THEN NULL {' '.join(whens)} END"
-
-
 # The tiers of licences, and the states that are none.
 GREEN = ["Apache-2.0", "BSD", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "CC0-1.0", "ISC", "MIT", "MIT-0", "MPL-2.0", "Mulan-PSL-2.0", "Unlicense", "WTFPL"]
 RED = [

@@ -142,9 +142,14 @@ def content_words(text: ColumnLike) -> Column:
 
 
 def grams(items: Column, n: int, joiner: str = " ") -> Column:
-    """Distinct runs of ``n`` array elements; an array that is too short has none."""
-    starts = F.when(F.size(items) >= n, F.sequence(F.lit(1), F.size(items) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(items, i, F.lit(n)), joiner)))
+    """Distinct runs of ``n`` array elements; an array that is too short has none.
+
+    The array is zipped with itself shifted, as inside a lambda it would be computed
+    anew for every element."""
+    size = F.size(items)
+    shifted = [F.slice(items, F.lit(k + 1), F.greatest(size - k, F.lit(0))).alias(f"g{k}") for k in range(n)]
+    runs = F.slice(F.arrays_zip(*shifted), F.lit(1), F.greatest(size - n + 1, F.lit(0)))
+    return F.array_distinct(F.transform(runs, lambda z: F.concat_ws(joiner, *[z[f"g{k}"] for k in range(n)])))
 
 
 def char_grams(text: ColumnLike, n: int = 3) -> Column:

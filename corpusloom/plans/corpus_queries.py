@@ -174,7 +174,16 @@ def library_stats(spark, sf_dir):
     return out.select("dimension", F.coalesce("src", "cat", "lic", F.lit("")).alias("value"), "n", "superseded", "long_descriptions", "mean_quality")
 
 
-@query(f"""WITH {NOW_SQL}, t AS (SELECT coalesce({licences.licence_sql('license')}, 'UNKNOWN') AS licence, count(*) AS n FROM now GROUP BY 1)
+LICENCE_SQL = """CASE WHEN license IS NULL OR trim(license) IN ('', 'Unknown', 'unknown', 'LICENSE', 'LICENSE.txt', 'LICENSE.md', 'License', 'License.txt', 'License.md', 'license', 'license.txt') OR starts_with(l, 'complete terms in') THEN NULL
+ WHEN contains(l, 'mit-0') THEN 'MIT-0' WHEN l = 'mit' OR regexp_matches(l, '^mit[\\s.,;]') THEN 'MIT' WHEN l = 'apache2' OR regexp_matches(l, 'apache.*2') OR regexp_matches(l, '2.*apache') THEN 'Apache-2.0'
+ WHEN contains(l, 'bsd-3-clause') OR contains(l, '3-clause bsd') OR contains(l, '3 clause bsd') THEN 'BSD-3-Clause' WHEN contains(l, 'bsd-2-clause') OR contains(l, '2-clause bsd') THEN 'BSD-2-Clause'
+ WHEN l = '0bsd' THEN '0BSD' WHEN l = 'bsd' THEN 'BSD' WHEN l = 'isc' THEN 'ISC' WHEN contains(l, 'mpl-2.0') OR l = 'mpl' THEN 'MPL-2.0' WHEN contains(l, 'cc0') OR contains(l, 'cc-0') THEN 'CC0-1.0'
+ WHEN contains(l, 'unlicense') THEN 'Unlicense' WHEN contains(l, 'wtfpl') THEN 'WTFPL' WHEN contains(l, 'mulan') THEN 'Mulan-PSL-2.0' WHEN contains(l, 'agpl') THEN 'AGPL-3.0' WHEN contains(l, 'lgpl') THEN 'LGPL-3.0' WHEN contains(l, 'gpl') THEN 'GPL-3.0'
+ WHEN regexp_matches(l, 'cc[- ]by-nc') THEN 'CC-BY-NC-4.0' WHEN regexp_matches(l, 'cc[- ]by-nd') THEN 'CC-BY-ND-4.0' WHEN regexp_matches(l, 'cc[- ]by-sa') THEN 'CC-BY-SA-4.0' WHEN regexp_matches(l, 'cc[- ]by') THEN 'CC-BY-4.0'
+ WHEN contains(l, 'proprietary') OR contains(l, 'private') THEN 'Proprietary' WHEN contains(l, 'fsl') THEN 'FSL-1.1' WHEN contains(l, 'polyform') THEN 'PolyForm-NC-1.0' WHEN contains(l, 'busl') THEN 'BUSL-1.1' END"""
+
+
+@query(f"""WITH {NOW_SQL}, t AS (SELECT coalesce({LICENCE_SQL}, 'UNKNOWN') AS licence, count(*) AS n FROM (SELECT license, lower(trim(license)) AS l FROM now) GROUP BY 1)
 SELECT licence, n, round(100.0 * n / sum(n) OVER (), 6) AS percent FROM t""")
 def license_tally(spark, sf_dir):
     """Normalised licences with counts and shares."""

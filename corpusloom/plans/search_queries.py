@@ -215,7 +215,7 @@ def reranker_candidates(spark, sf_dir):
 def hard_negatives(spark, sf_dir):
     """Seven hard negatives from a request's fifty best hits and three others, drawn
     by hash among all records outside these hits (the same every time)."""
-    docs = skills_view(spark, sf_dir).select("skill_id", "name", text.grams(text.lexical_tokens("t"), 3).alias("g"))
+    docs = skills_view(spark, sf_dir).select("skill_id", "name", F.transform(text.grams(text.lexical_tokens("t"), 3), lambda g: F.xxhash64(g)).alias("g"))
     gold = requests_view(spark, sf_dir).join(docs.select("skill_id"), "skill_id", "left_semi").select("query_id", F.col("skill_id").alias("gold"))
     hits = lexical_hits(spark, sf_dir, 50, pad=False)
     left = docs.select("skill_id", F.col("name").alias("_n"), F.col("g").alias("_g"))

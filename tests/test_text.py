@@ -67,3 +67,8 @@ def test_times_without_offset_are_utc(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert made == [1767225600] * 3 + [None]
+
+
+def test_grams(spark):
+    made = lambda t, n: value(spark, text.grams(F.filter(F.split(F.col("t"), " "), lambda x: x != ""), n), t=t)
+    assert made("a b c d", 3) == ["a b c", "b c d"] and made("a b a b", 2) == ["a b", "b a"] and made("a b", 3) == [] and made("", 2) == []
