@@ -20,7 +20,7 @@ left out for how many sets share it.
 Candidates pass an exact lower bound on the symmetric difference (hashed
 bitmaps) and are then verified on the whole texts, so nothing false comes out.
 
-Signatures travel as packed 13-byte entries in a few blobs per task, not as
+Signatures travel as packed 12-byte entries in a few blobs per task, not as
 rows; every task sends each class once.  The number of buckets follows from the
 bytes of text, rows arrive sorted by key, and every step holds one bucket or one
 batch at a time.  A signature shared by many classes is dealt out as pairs of
@@ -75,13 +75,23 @@ def missed(size: float, threshold: float, per_segment: float, middle: float, lea
     return float((1 - met) ** m)
 
 
+def missed_within(size: float, threshold: float, per_segment: float, middle: float, least: int, cutable: int, most: int) -> float:
+    """The same chance for a set of ``size`` shingles that lies wholly within one of ``size / threshold``."""
+    m = max(1.0, round(middle / per_segment))
+    common, alone = _poisson(size / m, 60), _poisson(size * (1 / threshold - 1) / m, 1)
+    k = np.arange(61)
+    whole = (k >= least) & (k <= most)
+    met = common @ (whole * alone[0] + (whole & (k < cutable)) * alone[1])
+    return float((1 - met) ** m)
+
+
 @functools.cache
 def allocation(threshold: float, magnitude: int) -> np.ndarray:
     """Per band (both shifts): segments, fewest and most shingles of an indexed
     subset, and most shingles of a subset with its deletions, for about
     ``10**magnitude`` records."""
     k = np.arange(61)
-    choices = [(per, least, cutable, most) for per in (1.0, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0, 6.0, 8.0) for least in range(1, 7) for cutable in range(least, least + 3) for most in range(cutable, least + 5)]
+    choices = [(per, least, cutable, most) for per in (1.0, 1.5, 2.0, 3.0, 4.0, 5.0, 6.0) for least in range(1, 7) for cutable in range(least, least + 5) for most in range(cutable, cutable + 3)]
     out = np.zeros((BANDS, 4))
     for half in range(BANDS):
         middle = 2.0 ** (half + 1)
@@ -96,7 +106,11 @@ def allocation(threshold: float, magnitude: int) -> np.ndarray:
         ranked.sort()
         fallback = None
         for _, per, choice in ranked:
-            miss = max(missed(middle * f, threshold, per, middle, choice[1], choice[3], choice[2]) for f in (0.71, 1.0, 1.41))
+            args = (threshold, per, middle, choice[1], choice[3], choice[2])
+            miss = max(missed(middle * f, *args) for f in (0.71, 1.0, 1.41))
+            if miss * miss <= MISS:
+                # A set within a larger one shares the band in which they lie around the middle.
+                miss = max(miss, *(missed_within(middle * f * threshold**0.5, *args) for f in (0.8, 1.0, 1.25)))
             if fallback is None or miss < fallback[0]:
                 fallback = (miss, choice)
             # Every size lies in two bands, which miss a pair independently.
@@ -185,9 +199,9 @@ def _signatures(n: int, least_words: int, buckets: int, plan: np.ndarray):
             ids = np.concatenate([h[1] for h in held])
             bucket = (sig >> np.uint64(40)) % np.uint64(buckets)
             order = np.argsort(bucket.astype(np.int32), kind="stable")
-            packed = np.empty((len(sig), 13), np.uint8)
-            packed[:, :5] = sig.astype("<u8")[order][:, None].view(np.uint8)[:, :5]
-            packed[:, 5:] = ids.astype("<u8")[order][:, None].view(np.uint8)
+            packed = np.empty((len(sig), 12), np.uint8)
+            packed[:, :4] = sig.astype("<u8")[order][:, None].view(np.uint8)[:, :4]
+            packed[:, 4:] = ids.astype("<u8")[order][:, None].view(np.uint8)
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
             some = np.flatnonzero(np.diff(edges))
             blobs = [packed[edges[b] : edges[b + 1]].tobytes() for b in some]
@@ -272,10 +286,10 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pairs of blocks where a signature has many ids; the rest passes."""
 
     def pairs(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        packed = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 13)
+        packed = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 12)
         sig = np.zeros((len(packed), 8), np.uint8)
-        sig[:, :5] = packed[:, :5]
-        ids, edges = _grouped(sig.view("<u8").ravel(), np.ascontiguousarray(packed[:, 5:]).view("<u8").ravel())
+        sig[:, :4] = packed[:, :4]
+        ids, edges = _grouped(sig.view("<u8").ravel(), np.ascontiguousarray(packed[:, 4:]).view("<u8").ravel())
         held = np.diff(edges)
         for g in np.flatnonzero(held > BLOCK).tolist():
             own = ids[edges[g] : edges[g + 1]]
