@@ -1,4 +1,4 @@
-"""Lexical search: postings and BM25 rankings as joins and aggregates.
+"""Lexical search: document frequencies and BM25 rankings.
 
 Nulls: a null text has no terms; rows with a null key are dropped.  A document
 without terms still counts in the number of documents and in the mean length.
@@ -9,16 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators import records
-
-K1, B = 1.5, 0.75
-
-
-def postings(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """``(key, term, tf, dl)``: occurrences of each term of a document, and the document's length."""
-    rows = docs.filter(F.col(key).isNotNull()).select(key, tokens.alias("_tokens"))
-    rows = rows.select(key, F.size("_tokens").alias("dl"), F.explode("_tokens").alias("term"))
-    return rows.groupBy(key, "term").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
+from corpusloom.operators import ranker
 
 
 def document_frequency(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
@@ -26,19 +17,10 @@ def document_frequency(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
     return docs.filter(F.col(key).isNotNull()).select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 
 
-def corpus_size(docs: DataFrame, key: str, tokens: Column) -> tuple[int, float]:
-    """Number of documents and their mean length (1 where it would be 0)."""
-    n, mean = docs.filter(F.col(key).isNotNull()).agg(F.count("*"), F.avg(F.size(tokens))).first()
-    return n, mean or 1.0
-
-
-def idf(n: int, df: Column) -> Column:
-    return F.log(1 + (n - df + 0.5) / (df + 0.5))
-
-
 def bm25(
     requests: DataFrame, request: str, terms: Column, docs: DataFrame, key: str, tokens: Column, k: int,
     repeated: bool = False, stop_share: float | None = None, stop_from: int = 10, pad: bool = False, digits: int = 6,
+    carry: list[str] = (), bring: list[str] = (),
 ) -> DataFrame:
     """The ``k`` best documents of every request: ``(request, key, score, rank)``.
 
@@ -47,24 +29,9 @@ def bm25(
     once there are ``stop_from`` documents.  Scores are rounded to ``digits``, ties
     go by key.  With ``pad`` a request always has ``k`` documents: those without
     any term follow with score 0, in the order of their keys.  Requests with a
-    null id are dropped; repeated requests must be made distinct before.
+    null id are dropped; repeated requests must be made distinct before.  ``carry``
+    and ``bring`` are further columns of requests and documents to be kept.
     """
-    n, mean = corpus_size(docs, key, tokens)
-    asked = requests.filter(F.col(request).isNotNull()).select(F.col(request).alias("_q"), terms.alias("_terms"))
-    words = asked.select("_q", F.explode(F.col("_terms") if repeated else F.array_distinct("_terms")).alias("term")).groupBy("_q", "term").agg(F.count("*").alias("_times"))
-    # Only terms that some request asks for are joined with lengths and frequencies.
-    own = postings(docs, key, tokens).join(words.select("term").distinct(), "term", "left_semi")
-    df = own.groupBy("term").agg(F.count("*").alias("df"))
-    if stop_share is not None and n >= stop_from:
-        df = df.filter(F.col("df") / n <= stop_share)
-    weight = idf(n, F.col("df")) * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / mean))
-    weights = own.join(df, "term").select("term", F.col(key).alias("_doc"), weight.alias("_w"))
-    scores = words.join(weights, "term").groupBy("_q", "_doc").agg(F.round(F.sum(F.col("_times") * F.col("_w")), digits).alias("score"))
-    if pad:
-        first = [r[0] for r in docs.filter(F.col(key).isNotNull()).select(key).orderBy(key).limit(k).collect()]  # k ids
-        spare = asked.select("_q", F.explode(F.array(*[F.lit(i) for i in first]) if first else F.array().cast(f"array<{docs.schema[key].dataType.simpleString()}>")).alias("_doc"))
-        scores = scores.unionByName(spare.join(scores, ["_q", "_doc"], "left_anti").withColumn("score", F.lit(0.0)))
-    else:
-        scores = scores.filter("score > 0")
-    best = records.top_per_key(scores, ["_q"], [F.col("score").desc(), F.col("_doc")], k)
-    return best.select(F.col("_q").alias(request), F.col("_doc").alias(key), "score", "rank")
+    channel = ranker.Channel(terms, tokens, k, repeated, stop_share, stop_from, pad, digits)
+    best = ranker.search(requests, request, docs, key, [channel], carry, bring)
+    return best.select(request, key, F.col("score0").alias("score"), F.col("rank0").alias("rank"), *carry, *bring)
