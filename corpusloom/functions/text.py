@@ -123,8 +123,7 @@ def embedding_text(name: ColumnLike, description: ColumnLike, body: ColumnLike,
 def lexical_tokens(text: ColumnLike) -> Column:
     """Tokens of the whole-document index: letters, digits, ``_ - .``, two or more, no stop words."""
     found = F.regexp_extract_all(F.lower(F.coalesce(col(text), F.lit(""))), F.lit(r"[a-z0-9_\-.]+"), 0)
-    stop = words_array(LEXICAL_STOP)
-    return F.filter(found, lambda t: (F.length(t) > 1) & ~F.array_contains(stop, t))
+    return F.filter(found, lambda t: (F.length(t) > 1) & ~t.isin(LEXICAL_STOP))
 
 
 def bigram_tokens(text: ColumnLike) -> Column:

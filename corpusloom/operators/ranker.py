@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 K1, B = 1.5, 0.75
 #: Documents and postings of a block, requests of a task, rows handed to Spark at once.
-BLOCK, POSTINGS, REQUESTS, ROWS = 8192, 1 << 20, 16384, 20_000
+BLOCK, POSTINGS, REQUESTS, ROWS = 16384, 1 << 21, 16384, 20_000
 
 
 @dataclass
@@ -237,7 +237,7 @@ def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channel
     for c, term, times in held.groupBy("c", "term").count().collect():
         df[c][term] = times
     idf = [np.log(1 + (n - x + 0.5) / (x + 0.5)) for x in df]
-    ignored = [(x / max(n, 1) > c.stop_share) if c.stop_share is not None and n >= c.stop_from else np.zeros(len(x), bool) for x, c in zip(df, channels)]
+    ignored = [(x == 0) | ((x / max(n, 1) > c.stop_share) if c.stop_share is not None and n >= c.stop_from else False) for x, c in zip(df, channels)]
     path = f"{folder}/sorted"
     _keep(counted.sort(key), path)
 
@@ -254,7 +254,7 @@ def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channel
                 table[f"_ids{i}"] = _lists(code[order], row[order], len(batch))
             yield pa.RecordBatch.from_arrays(list(table.values()), names=list(table))
 
-    groups = max(2 * spark.sparkContext.defaultParallelism, -(-number // REQUESTS))
+    groups = max(spark.sparkContext.defaultParallelism, -(-number // REQUESTS))
     grouped = asked.mapInArrow(numbered, T.StructType([asked.schema[x] for x in (request, *carry)] + numbers(["_ids"]))).repartitionByRange(max(1, groups), *[f"_ids{i}" for i in many], request)
     fields = [x for i in many for x in (T.StructField(f"score{i}", T.DoubleType()), T.StructField(f"rank{i}", T.IntegerType()), T.StructField(f"mean{i}", T.DoubleType()), T.StructField(f"deviation{i}", T.DoubleType()))]
     result = T.StructType([asked.schema[x] for x in (request, *carry)] + [docs.schema[x] for x in (key, *bring)] + fields)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text, vectors
-from corpusloom.operators import fusion, lexical, matching, rankings, records
+from corpusloom.operators import fusion, lexical, matching, ranker, rankings, records
 from corpusloom.operators.records import read
 from corpusloom.plans.corpus_queries import NOW_SQL, now
 
@@ -69,9 +69,10 @@ A_SQL = bm25_sql("lexical", 100, True, False, True, "alist")
 B_SQL = bm25_sql("bigram", 100, False, True, False, "blist", "concat_ws(' ', name, name, description)")
 
 
-def lexical_hits(spark, sf_dir, k: int = 100, pad: bool = True) -> DataFrame:
-    docs = skills_view(spark, sf_dir)
-    return lexical.bm25(requests_view(spark, sf_dir), "query_id", text.lexical_tokens("instruction_text"), docs, "skill_id", text.lexical_tokens("t"), k, pad=pad)
+def lexical_hits(spark, sf_dir, k: int = 100, pad: bool = True, requests: DataFrame | None = None, docs: DataFrame | None = None, carry: list[str] = (), bring: list[str] = ()) -> DataFrame:
+    requests = requests_view(spark, sf_dir) if requests is None else requests
+    docs = skills_view(spark, sf_dir) if docs is None else docs
+    return lexical.bm25(requests, "query_id", text.lexical_tokens("instruction_text"), docs, "skill_id", text.lexical_tokens("t"), k, pad=pad, carry=carry, bring=bring)
 
 
 def adaptive_hits(spark, sf_dir, k: int = 100) -> DataFrame:
@@ -80,6 +81,13 @@ def adaptive_hits(spark, sf_dir, k: int = 100) -> DataFrame:
     return lexical.bm25(requests_view(spark, sf_dir), "query_id", text.bigram_tokens("instruction_text"), docs, "skill_id", text.bigram_tokens("t"), k, repeated=True, stop_share=0.5)
 
 
+def both_hits(spark, sf_dir, k: int = 100, pad: bool = True, bring: list[str] = ()) -> DataFrame:
+    """The adaptive (0) and the lexical (1) hits side by side; records are read once for both."""
+    short = ranker.Channel(text.bigram_tokens("instruction_text"), text.bigram_tokens(F.concat_ws(" ", "name", "name", "description")), k, repeated=True, stop_share=0.5)
+    whole = ranker.Channel(text.lexical_tokens("instruction_text"), text.lexical_tokens("t"), k, pad=pad)
+    return ranker.search(requests_view(spark, sf_dir), "query_id", skills_view(spark, sf_dir), "skill_id", [short, whole], bring=bring)
+
+
 @query(f"WITH {VIEW_SQL}, {bm25_sql('lexical', 10, True, False, True, 'alist')} SELECT query_id, skill_id, score, rank FROM alist")
 def bm25_lexical_top10(spark, sf_dir):
     """Ten best records of every request; records without any of its terms fill up with score 0."""
@@ -130,14 +138,14 @@ def dense_top10(spark, sf_dir):
 SELECT query_id, skill_id, fused, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY fused DESC, ra NULLS LAST, rb NULLS LAST) AS rank FROM f) WHERE rank <= 10""")
 def score_fusion(spark, sf_dir):
     """Two channels fused by standardised scores (the short-text channel leads, the long-text one has weight 0.3)."""
-    return fusion.score_fusion(adaptive_hits(spark, sf_dir), lexical_hits(spark, sf_dir), "query_id", "skill_id", k=10)
+    return fusion.score_fusion_beside(both_hits(spark, sf_dir), "query_id", "skill_id", k=10)
 
 
 @query(f"""WITH {VIEW_SQL}, {A_SQL}, {B_SQL}, f AS (SELECT query_id, skill_id, round(coalesce(1.0::double / (60 + b.rank), 0) + 0.3::double * coalesce(1.0::double / (60 + a.rank), 0), 9) AS fused, b.rank AS ra, a.rank AS rb FROM blist b FULL JOIN alist a USING (query_id, skill_id))
 SELECT query_id, skill_id, fused, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY fused DESC, ra NULLS LAST, rb NULLS LAST) AS rank FROM f) WHERE rank <= 10""")
 def rank_fusion(spark, sf_dir):
     """The same channels fused by reciprocal ranks."""
-    return fusion.rank_fusion(adaptive_hits(spark, sf_dir), lexical_hits(spark, sf_dir), "query_id", "skill_id", k=10)
+    return fusion.rank_fusion_beside(both_hits(spark, sf_dir), "query_id", "skill_id", k=10)
 
 
 @query(f"""WITH {VIEW_SQL}, {bm25_sql('lexical', 20, True, False, False, 'alist')}, {bm25_sql('bigram', 20, False, True, False, 'blist', "concat_ws(' ', name, name, description)")},
@@ -147,17 +155,23 @@ def rank_fusion(spark, sf_dir):
 SELECT query_id, key, rrf, sources, item, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, first_at) AS rank FROM g) WHERE rank <= 10""")
 def weighted_rrf(spark, sf_dir):
     """Two sources of hits fused by weighted reciprocal ranks, collapsed by the record's name."""
-    names = skills_view(spark, sf_dir).select("skill_id", "name")
-    local = lexical_hits(spark, sf_dir, 20, pad=False).select("query_id", "skill_id", "rank", F.lit("local").alias("source"), F.lit(1).alias("source_order"), F.lit(1.0).alias("weight"))
-    hub = adaptive_hits(spark, sf_dir, 20).select("query_id", "skill_id", "rank", F.lit("hub").alias("source"), F.lit(2).alias("source_order"), F.lit(0.85).alias("weight"))
-    return fusion.weighted_rrf(local.unionByName(hub).join(names, "skill_id"), "query_id", "name", "skill_id", 10)
+    # Lists side by side: local is 1, hub 0; the name comes with the record.
+    rows = both_hits(spark, sf_dir, 20, pad=False, bring=["name"])
+    lists = F.array(
+        F.struct(F.col("rank1").alias("rank"), F.lit("local").alias("source"), F.lit(1).alias("source_order"), F.lit(1.0).alias("weight")),
+        F.struct(F.col("rank0").alias("rank"), F.lit("hub").alias("source"), F.lit(2).alias("source_order"), F.lit(0.85).alias("weight")),
+    )
+    hits = rows.select("query_id", "skill_id", "name", F.inline(lists)).filter("rank IS NOT NULL")
+    return fusion.weighted_rrf(hits, "query_id", "name", "skill_id", 10)
 
 
 def _metrics(spark, sf_dir) -> DataFrame:
     asked = requests_view(spark, sf_dir).filter("skill_id IS NOT NULL")
     known = asked.join(skills_view(spark, sf_dir).select("skill_id"), "skill_id", "left_semi")
     gold = known.select("query_id", "skill_id", F.lit(1.0).alias("gain"))
-    got = rankings.per_request(known, lexical_hits(spark, sf_dir, 50), gold, "query_id", "skill_id")
+    # Of a request's fifty hits only the gold record counts, so the others end where they were found.
+    hits = lexical_hits(spark, sf_dir, 50, requests=known.withColumnRenamed("skill_id", "gold"), carry=["gold"]).filter("skill_id = gold").drop("gold")
+    got = rankings.per_request(known, hits, gold, "query_id", "skill_id")
     return got.join(known.select("query_id", F.coalesce(F.nullif(F.trim("category"), F.lit("")), F.lit("all")).alias("group")), "query_id")
 
 

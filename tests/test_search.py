@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 
 import pytest
@@ -85,3 +86,16 @@ def test_rankings_join_no_postings(spark, stop, pad):
     t = _tokens(F.col("t"))
     plan = lexical.bm25(requests, "q", t, docs, "d", t, 3, stop_share=stop, pad=pad)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Generate" not in plan
+
+
+SMALL = "/root/testdata/sf0.001"
+#: Queries over ranked lists.
+LISTS = ["ir_metrics", "macro_mrr"]
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the given tables")
+@pytest.mark.parametrize("name", LISTS)
+def test_queries_over_lists_join_no_postings(spark, name):
+    from corpusloom.plans.search_queries import QUERIES
+
+    assert "explode(" not in QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
