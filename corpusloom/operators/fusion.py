@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import records
@@ -16,24 +16,14 @@ def standardised(hits: DataFrame, request: str) -> DataFrame:
     return hits.withColumn("z", (F.col("score") - F.avg("score").over(per)) / (F.stddev_pop("score").over(per) + 1e-9))
 
 
-def beside(rows: DataFrame, request: str, key: str, first: Column, second: Column, alpha: float, k: int, digits: int) -> DataFrame:
-    """``(request, key, fused, rank)`` of rows that hold both lists' ranks side by side,
-    as ``ranker.search`` gives them; each row is fused by itself, so only the best
-    ``k`` of a request are shuffled."""
-    fused = F.round(F.coalesce(first, F.lit(0.0)) + alpha * F.coalesce(second, F.lit(0.0)), digits)
-    order = [F.col("fused").desc(), F.col("rank0").asc_nulls_last(), F.col("rank1").asc_nulls_last()]
-    return records.top_per_key(rows.select(request, key, fused.alias("fused"), "rank0", "rank1"), [request], order, k).select(request, key, "fused", "rank")
+def by_score(score, rank, mean, deviation):
+    """For ``ranker.Fuse``: what ``score_fusion`` sums."""
+    return (score - mean) / (deviation + 1e-9)
 
 
-def score_fusion_beside(rows: DataFrame, request: str, key: str, alpha: float = 0.3, k: int = 50, digits: int = 6) -> DataFrame:
-    """``score_fusion`` of lists that stand side by side."""
-    z = [(F.col(f"score{i}") - F.col(f"mean{i}")) / (F.col(f"deviation{i}") + 1e-9) for i in (0, 1)]
-    return beside(rows, request, key, *z, alpha, k, digits)
-
-
-def rank_fusion_beside(rows: DataFrame, request: str, key: str, alpha: float = 0.3, k: int = 50, rrf_k: int = RRF_K, digits: int = 9) -> DataFrame:
-    """``rank_fusion`` of lists that stand side by side."""
-    return beside(rows, request, key, *[1.0 / (rrf_k + F.col(f"rank{i}")) for i in (0, 1)], alpha, k, digits)
+def by_rank(score, rank, mean, deviation):
+    """For ``ranker.Fuse``: what ``rank_fusion`` sums."""
+    return 1.0 / (RRF_K + rank)
 
 
 def _merged(first: DataFrame, second: DataFrame, request: str, key: str, value: str, alpha: float, k: int, digits: int) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -26,6 +27,8 @@ from pyspark.sql import types as T
 K1, B = 1.5, 0.75
 #: Documents and postings of a block, requests of a task, rows handed to Spark at once.
 BLOCK, POSTINGS, REQUESTS, ROWS = 16384, 1 << 21, 16384, 20_000
+#: Requests whose lists are joined at once.
+TOGETHER = 1024
 
 
 @dataclass
@@ -46,6 +49,18 @@ class Channel:
     digits: int = 6
 
 
+@dataclass
+class Fuse:
+    """Joins the lists of a request: ``value(score, rank, mean, deviation)`` of each
+    channel (arrays), times its weight, summed; what a list lacks adds nothing.  Of
+    equal sums the one listed earlier wins, the first channel before the second."""
+
+    value: Callable
+    weights: list[float]
+    k: int
+    digits: int
+
+
 def _shared(spark) -> str:
     """A new folder below the one that all machines share; it goes when the session ends."""
     context = spark.sparkContext
@@ -98,14 +113,16 @@ def _lists(values: np.ndarray, rows: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(n + 1)), pa.int32()), pa.array(values, pa.int32()))
 
 
-def _weights(batch: pa.RecordBatch, c: int, known: np.ndarray, idf: np.ndarray, mean: float):
-    """Per block: number of its first row, its size, and terms -> weights (a vector, or places and weights)."""
+def _weights(batch: pa.RecordBatch, base: int, c: int, known: np.ndarray, idf: np.ndarray, mean: float):
+    """Per block: number of its first row, its size, and terms -> weights (a vector, or places and weights).
+
+    The first blocks are small: they give the bounds that leave few documents of the next ones to be sorted."""
     ids, tfs = batch.column(f"_ids{c}"), batch.column(f"_tfs{c}")
     ends = np.r_[0, np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))].astype(np.int64)
     ids, tfs, length = ids.flatten().to_numpy(), tfs.flatten().to_numpy(), batch.column(f"_dl{c}").to_numpy().astype(float)
     start = 0
     while start < len(batch):
-        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + POSTINGS, side="right")) - 1)
+        stop = max(start + 1, min(start + max(BLOCK // 16, 3 * (base + start)), int(np.searchsorted(ends, ends[start] + POSTINGS, side="right")) - 1))
         n, part = stop - start, slice(ends[start], ends[stop])
         term, tf, doc = ids[part], tfs[part].astype(float), np.repeat(np.arange(n), np.diff(ends[start : stop + 1]))
         asked = known[term]
@@ -116,7 +133,7 @@ def _weights(batch: pa.RecordBatch, c: int, known: np.ndarray, idf: np.ndarray,
         first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
         rows = {}
         for a, b in zip(first.tolist(), [*first[1:].tolist(), len(term)]):
-            if (b - a) * 16 >= n:
+            if (b - a) * 8 >= n:
                 row = np.zeros(n)
                 row[doc[a:b]] = weight[a:b]
                 rows[int(term[a])] = (None, row)
@@ -140,8 +157,8 @@ def _best(queries: list[list[int]], path: str, c: int, k: int, idf: np.ndarray,
     none = (np.zeros(0, np.int64), np.zeros(0))
     kept, least = [none] * len(terms), [0.0] * len(terms)
     for base, batch in _batches(path, [f"_ids{c}", f"_tfs{c}", f"_dl{c}"]):
-        for start, n, rows in _weights(batch, c, known, idf, mean):
-            sums, over = np.zeros((depth, n)), np.empty(n, bool)  # sums[d]: of the first d terms; the last: of all
+        for start, n, rows in _weights(batch, base, c, known, idf, mean):
+            sums, over, scale = np.zeros((depth, n)), np.empty(n, bool), 10.0**digits  # sums[d]: of the first d terms; the last: of all
             full = sums[depth - 1]
             for i, q in enumerate(terms):
                 same, ahead = common[i], common[i + 1]
@@ -166,7 +183,7 @@ def _best(queries: list[list[int]], path: str, c: int, k: int, idf: np.ndarray,
                 found = np.flatnonzero(over)
                 if not len(found):
                     continue
-                score = np.round(now[found], digits)
+                score = np.floor(now[found] * scale + 0.5) / scale
                 better = score > least[i]  # of equal scores the smaller key stays, which came before
                 found, score = found[better], score[better]
                 if not len(found):
@@ -193,12 +210,55 @@ def _padded(hits: tuple[np.ndarray, np.ndarray], k: int, n: int) -> tuple[np.nda
     return np.r_[nos, spare], np.r_[scores, np.zeros(len(spare))]
 
 
-def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channels: list[Channel], carry: list[str] = (), bring: list[str] = ()) -> DataFrame:
-    """Rows ``(request, *carry, key, *bring, score0, rank0, mean0, deviation0, score1, ...)``:
-    every document that is among the best of a channel, with null where a channel
-    does not list it; mean and population deviation are those of the channel's list.
+def _beside(best: list[list]) -> tuple[np.ndarray, np.ndarray, list, list]:
+    """Documents and requests, by document, that any channel lists; per channel where it lists them, the scores and the ranks; per channel the places of its list."""
+    many, lists = len(best[0]), []
+    for found in best:
+        size = np.array([len(x[0]) for x in found], np.int64)
+        q, first = np.repeat(np.arange(many), size), np.repeat(np.cumsum(size) - size, size)
+        lists.append((np.concatenate([x[0] for x in found]).astype(np.int64) * many + q, np.concatenate([x[1] for x in found]), np.arange(1, len(q) + 1) - first))
+    every, out, places = np.unique(np.concatenate([x[0] for x in lists])), [], []
+    for code, score, rank in lists:
+        at = np.searchsorted(every, code)
+        held, scores, ranks = np.zeros(len(every), bool), np.zeros(len(every)), np.zeros(len(every), np.int32)
+        held[at], scores[at], ranks[at] = True, score, rank
+        out.append((held, scores, ranks))
+        places.append(at)
+    return every // many, every % many, out, places
+
+
+def _fused(best: list[list], offset: int, fuse: Fuse) -> tuple[np.ndarray, ...]:
+    """Document, request, fused score and rank of the best ``fuse.k`` of every request."""
+    many = len(best[0])
+    no, q, lists, places = _beside(best)
+    total = np.zeros(len(no))
+    for (held, score, rank), weight in zip(lists, fuse.weights):
+        times = np.maximum(np.bincount(q[held], minlength=many), 1)
+        mean = np.bincount(q[held], score[held], many) / times
+        deviation = np.sqrt(np.bincount(q[held], (score[held] - mean[q[held]]) ** 2, many) / times)
+        total[held] += weight * fuse.value(score[held], rank[held], mean[q[held]], deviation[q[held]])
+    total = np.sign(total) * np.floor(np.abs(total) * 10.0**fuse.digits + 0.5) / 10.0**fuse.digits  # halves away from zero, as the engine does
+    # In the order that settles equal sums; the sort keeps it.
+    seen, order = np.zeros(len(no), bool), []
+    for at in places:
+        order.append(at[~seen[at]])
+        seen[at] = True
+    order = np.concatenate(order)
+    order = order[np.lexsort((-total[order], q[order]))]
+    place = np.arange(len(order)) - np.searchsorted(q[order], q[order]) + 1
+    top = place <= fuse.k
+    order = order[top]
+    return no[order], q[order] + offset, total[order], place[top]
+
+
+def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channels: list[Channel], carry: list[str] = (), bring: list[str] = (), fuse: Fuse | None = None) -> DataFrame:
+    """Rows ``(request, *carry, key, *bring, score0, rank0, score1, ...)``: every document
+    that is among the best of a channel, with null where a channel does not list it.
     ``carry`` are further columns of requests, ``bring`` of documents.
 
+    With ``fuse`` the columns of channels give way to ``fused`` and ``rank``, and only
+    the best of a request stay.
+
     Requests with a null id and documents with a null key are dropped; both ids must
     be distinct."""
     spark, many = requests.sparkSession, range(len(channels))
@@ -255,8 +315,11 @@ def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channel
             yield pa.RecordBatch.from_arrays(list(table.values()), names=list(table))
 
     groups = max(spark.sparkContext.defaultParallelism, -(-number // REQUESTS))
-    grouped = asked.mapInArrow(numbered, T.StructType([asked.schema[x] for x in (request, *carry)] + numbers(["_ids"]))).repartitionByRange(max(1, groups), *[f"_ids{i}" for i in many], request)
-    fields = [x for i in many for x in (T.StructField(f"score{i}", T.DoubleType()), T.StructField(f"rank{i}", T.IntegerType()), T.StructField(f"mean{i}", T.DoubleType()), T.StructField(f"deviation{i}", T.DoubleType()))]
+    grouped = asked.mapInArrow(numbered, T.StructType([asked.schema[x] for x in (request, *carry)] + numbers(["_ids"]))).repartitionByRange(max(1, groups), *[f"_ids{i}" for i in reversed(many)], request)
+    if fuse:
+        fields = [T.StructField("fused", T.DoubleType()), T.StructField("rank", T.IntegerType())]
+    else:
+        fields = [T.StructField(f"{x}{i}", T.IntegerType() if x == "rank" else T.DoubleType()) for i in many for x in ("score", "rank")]
     result = T.StructType([asked.schema[x] for x in (request, *carry)] + [docs.schema[x] for x in (key, *bring)] + fields)
 
     def score(batches):
@@ -264,33 +327,19 @@ def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channel
         if not batches or n == 0:
             return
         group = pa.Table.from_batches(batches).combine_chunks()
-        queries = np.arange(len(group))
-        parts = []
+        best = []
         for i, (k, pad, digits) in enumerate(plan):
-            best = _best(group.column(f"_ids{i}").to_pylist(), path, i, k, idf[i], means[i], digits)
-            best = [_padded(x, k, n) for x in best] if pad else best
-            size = np.array([len(x[0]) for x in best], np.int64)
-            empty = [np.zeros(0)]
-            part = {
-                "q": np.repeat(queries, size), "no": np.concatenate([x[0] for x in best] or empty).astype(np.int64), "score": np.concatenate([x[1] for x in best] or empty),
-                "rank": np.concatenate([np.arange(1, s + 1) for s in size] or empty).astype(np.int32),
-            }
-            for name, f in (("mean", np.mean), ("deviation", np.std)):
-                part[name] = np.repeat([f(x[1]) if len(x[1]) else 0.0 for x in best], size)
-            parts.append(part)
-        # One row per request and document, in the order of documents, so that the files are read once more, front to back.
-        codes = [p["no"] * len(group) + p["q"] for p in parts]
-        every = np.unique(np.concatenate(codes))
-        no, q = every // len(group), every % len(group)
-        values = []
-        for p, code in zip(parts, codes):
-            at = np.searchsorted(every, code)
-            missing = np.ones(len(every), bool)
-            missing[at] = False
-            for name in ("score", "rank", "mean", "deviation"):
-                column = np.zeros(len(every), p[name].dtype)
-                column[at] = p[name]
-                values.append(pa.array(column, mask=missing))
+            found = _best(group.column(f"_ids{i}").to_pylist(), path, i, k, idf[i], means[i], digits)
+            best.append([_padded(x, k, n) for x in found] if pad else found)
+        if fuse:
+            parts = [_fused([x[a : a + TOGETHER] for x in best], a, fuse) for a in range(0, len(group), TOGETHER)]
+            no, q, fused, rank = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(no, kind="stable")
+            no, q, values = no[order], q[order], [pa.array(fused[order]), pa.array(rank[order], pa.int32())]
+        else:
+            no, q, lists, _ = _beside(best)
+            values = [pa.array(x, mask=~held) for held, *columns in lists for x in columns]
+        # Rows are in the order of documents, so the files are read once more, front to back.
         for base, batch in _batches(path, [key, *bring]):
             low, high = np.searchsorted(no, [base, base + len(batch)])
             for a in range(low, high, ROWS):

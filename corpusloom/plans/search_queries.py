@@ -81,11 +81,11 @@ def adaptive_hits(spark, sf_dir, k: int = 100) -> DataFrame:
     return lexical.bm25(requests_view(spark, sf_dir), "query_id", text.bigram_tokens("instruction_text"), docs, "skill_id", text.bigram_tokens("t"), k, repeated=True, stop_share=0.5)
 
 
-def both_hits(spark, sf_dir, k: int = 100, pad: bool = True, bring: list[str] = ()) -> DataFrame:
+def both_hits(spark, sf_dir, k: int = 100, pad: bool = True, bring: list[str] = (), fuse: ranker.Fuse | None = None) -> DataFrame:
     """The adaptive (0) and the lexical (1) hits side by side; records are read once for both."""
     short = ranker.Channel(text.bigram_tokens("instruction_text"), text.bigram_tokens(F.concat_ws(" ", "name", "name", "description")), k, repeated=True, stop_share=0.5)
     whole = ranker.Channel(text.lexical_tokens("instruction_text"), text.lexical_tokens("t"), k, pad=pad)
-    return ranker.search(requests_view(spark, sf_dir), "query_id", skills_view(spark, sf_dir), "skill_id", [short, whole], bring=bring)
+    return ranker.search(requests_view(spark, sf_dir), "query_id", skills_view(spark, sf_dir), "skill_id", [short, whole], bring=bring, fuse=fuse)
 
 
 @query(f"WITH {VIEW_SQL}, {bm25_sql('lexical', 10, True, False, True, 'alist')} SELECT query_id, skill_id, score, rank FROM alist")
@@ -138,14 +138,14 @@ def dense_top10(spark, sf_dir):
 SELECT query_id, skill_id, fused, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY fused DESC, ra NULLS LAST, rb NULLS LAST) AS rank FROM f) WHERE rank <= 10""")
 def score_fusion(spark, sf_dir):
     """Two channels fused by standardised scores (the short-text channel leads, the long-text one has weight 0.3)."""
-    return fusion.score_fusion_beside(both_hits(spark, sf_dir), "query_id", "skill_id", k=10)
+    return both_hits(spark, sf_dir, fuse=ranker.Fuse(fusion.by_score, [1.0, 0.3], 10, 6))
 
 
 @query(f"""WITH {VIEW_SQL}, {A_SQL}, {B_SQL}, f AS (SELECT query_id, skill_id, round(coalesce(1.0::double / (60 + b.rank), 0) + 0.3::double * coalesce(1.0::double / (60 + a.rank), 0), 9) AS fused, b.rank AS ra, a.rank AS rb FROM blist b FULL JOIN alist a USING (query_id, skill_id))
 SELECT query_id, skill_id, fused, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY fused DESC, ra NULLS LAST, rb NULLS LAST) AS rank FROM f) WHERE rank <= 10""")
 def rank_fusion(spark, sf_dir):
     """The same channels fused by reciprocal ranks."""
-    return fusion.rank_fusion_beside(both_hits(spark, sf_dir), "query_id", "skill_id", k=10)
+    return both_hits(spark, sf_dir, fuse=ranker.Fuse(fusion.by_rank, [1.0, 0.3], 10, 9))
 
 
 @query(f"""WITH {VIEW_SQL}, {bm25_sql('lexical', 20, True, False, False, 'alist')}, {bm25_sql('bigram', 20, False, True, False, 'blist', "concat_ws(' ', name, name, description)")},

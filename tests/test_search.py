@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import lexical, ranker
+from corpusloom.operators import fusion, lexical, ranker
 
 
 def _tables(spark, seed: int = 3):
@@ -87,10 +87,21 @@ def test_rankings_join_no_postings(spark, stop, pad):
     plan = lexical.bm25(requests, "q", t, docs, "d", t, 3, stop_share=stop, pad=pad)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Generate" not in plan
 
+@pytest.mark.parametrize("way", ["by_score", "by_rank"])
+def test_lists_fused_by_the_ranker_as_by_joins(spark, way):
+    requests, docs, _, _ = _tables(spark)
+    t = _tokens(F.col("t"))
+    first, second = (lexical.bm25(requests, "q", t, docs, "d", t, k, repeated=r, pad=p) for k, r, p in ((30, True, False), (20, False, True)))
+    join = {"by_score": fusion.score_fusion, "by_rank": fusion.rank_fusion}[way]
+    want = {tuple(x) for x in join(first, second, "q", "d", k=8, digits=6).collect()}
+    channels = [ranker.Channel(t, t, 30, repeated=True), ranker.Channel(t, t, 20, pad=True)]
+    got = ranker.search(requests, "q", docs, "d", channels, fuse=ranker.Fuse(getattr(fusion, way), [1.0, 0.3], 8, 6))
+    assert {tuple(x) for x in got.collect()} == want and len(want) > 200
+
 
 SMALL = "/root/testdata/sf0.001"
 #: Queries over ranked lists.
-LISTS = ["ir_metrics", "macro_mrr"]
+LISTS = ["ir_metrics", "macro_mrr", "rank_fusion", "score_fusion"]
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the given tables")
