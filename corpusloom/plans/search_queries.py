@@ -155,8 +155,9 @@ def rank_fusion(spark, sf_dir):
 SELECT query_id, key, rrf, sources, item, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, first_at) AS rank FROM g) WHERE rank <= 10""")
 def weighted_rrf(spark, sf_dir):
     """Two sources of hits fused by weighted reciprocal ranks, collapsed by the record's name."""
-    # Lists side by side: local is 1, hub 0; the name comes with the record.
-    rows = both_hits(spark, sf_dir, 20, pad=False, bring=["name"])
+    # Lists side by side: local is 1, hub 0; the name comes with the record.  Shuffled
+    # once, by request, which also serves the groups and the ranks.
+    rows = both_hits(spark, sf_dir, 20, pad=False, bring=["name"]).repartition("query_id")
     lists = F.array(
         F.struct(F.col("rank1").alias("rank"), F.lit("local").alias("source"), F.lit(1).alias("source_order"), F.lit(1.0).alias("weight")),
         F.struct(F.col("rank0").alias("rank"), F.lit("hub").alias("source"), F.lit(2).alias("source_order"), F.lit(0.85).alias("weight")),

@@ -110,3 +110,12 @@ def test_queries_over_lists_join_no_postings(spark, name):
     from corpusloom.plans.search_queries import QUERIES
 
     assert "explode(" not in QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the given tables")
+def test_weighted_rrf_shuffles_its_hits_once(spark):
+    """The groups by name and the ranks use the hits' one shuffle by request."""
+    from corpusloom.plans.search_queries import QUERIES
+
+    plan = QUERIES["weighted_rrf"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "Join" not in plan and "explode(" not in plan
