@@ -159,17 +159,20 @@ def ingest_counts(spark, sf_dir):
 FROM (SELECT *, lower(trim(source)) AS src, coalesce(category, 'UNKNOWN') AS cat, coalesce(license, 'UNKNOWN') AS lic FROM now WHERE NOT deleted)
 GROUP BY GROUPING SETS ((src), (cat), (lic), ())""")
 def library_stats(spark, sf_dir):
-    """Counts and mean quality by source, category and licence, and in all, in one pass."""
+    """Counts and mean quality by source, category and licence, and in all, in one pass.
+
+    Scores are added up as decimals: a mean halfway between two roundings must not
+    depend on the order of rows."""
     rows = now(spark, sf_dir, "source", "category", "license", "quality_score", "superseded_by", "description", "deleted").filter("NOT deleted")
     score = F.col("quality_score")
     rows = rows.select(
         F.lower(F.trim("source")).alias("src"), F.coalesce("category", F.lit("UNKNOWN")).alias("cat"), F.coalesce("license", F.lit("UNKNOWN")).alias("lic"),
-        F.when(~F.isnan(score) & score.between(0, 1), score).alias("score"), "superseded_by", F.length("description").alias("dl"),
+        F.when(~F.isnan(score) & score.between(0, 1), score).cast("decimal(20,18)").alias("score"), "superseded_by", F.length("description").alias("dl"),
     )
     kind = F.when(F.grouping("src") == 0, "source").when(F.grouping("cat") == 0, "category").when(F.grouping("lic") == 0, "license").otherwise("all")
     out = rows.groupingSets([["src"], ["cat"], ["lic"], []], "src", "cat", "lic").agg(
         kind.alias("dimension"), F.count("*").alias("n"), F.count_if(F.col("superseded_by").isNotNull()).alias("superseded"),
-        F.count_if(F.col("dl") > 1024).alias("long_descriptions"), F.round(F.avg("score"), 6).alias("mean_quality"),
+        F.count_if(F.col("dl") > 1024).alias("long_descriptions"), F.round(F.avg("score"), 6).cast("double").alias("mean_quality"),
     )
     return out.select("dimension", F.coalesce("src", "cat", "lic", F.lit("")).alias("value"), "n", "superseded", "long_descriptions", "mean_quality")
 
