@@ -213,29 +213,28 @@ def reranker_candidates(spark, sf_dir):
     """Training candidates of every request: the gold record and up to nine of its
     best other hits that are no hidden positives (same name, or descriptions with
     more than 0.6 of their letter trigrams in common)."""
-    docs = skills_view(spark, sf_dir).select("skill_id", "name", text.char_grams(F.coalesce("description", F.lit(""))).alias("g"))
-    gold = requests_view(spark, sf_dir).join(docs.select("skill_id"), "skill_id", "left_semi").select("query_id", F.col("skill_id").alias("gold"))
-    hits = lexical_hits(spark, sf_dir, 20, pad=False).join(gold, "query_id").filter("skill_id <> gold")
-    left = docs.select("skill_id", F.col("name").alias("_n"), F.col("g").alias("_g"))
-    right = docs.select(F.col("skill_id").alias("gold"), F.col("name").alias("_pn"), F.col("g").alias("_pg"))
-    pairs = hits.join(left, "skill_id").join(right, "gold")
-    hidden = F.coalesce(F.lower("_n") == F.lower("_pn"), F.lit(False)) | (text.jaccard(F.col("_g"), F.col("_pg")) > 0.6)
-    kept = records.top_per_key(pairs.filter(~hidden).select("query_id", "skill_id", F.col("rank").alias("_r")), ["query_id"], [F.col("_r")], 9, "place")
-    kept = kept.select("query_id", "skill_id", F.col("place").cast("int").alias("place"), F.lit(False).alias("positive"))
-    positive = gold.join(kept.select("query_id").distinct(), "query_id", "left_semi").select("query_id", F.col("gold").alias("skill_id"), F.lit(0).alias("place"), F.lit(True).alias("positive"))
-    return kept.unionByName(positive)
+    # Names and trigrams come with request and record, so no hit is shuffled before the nine are chosen.
+    docs = skills_view(spark, sf_dir).withColumn("_g", text.char_grams(F.coalesce("description", F.lit(""))))
+    asked = requests_view(spark, sf_dir).withColumnRenamed("skill_id", "gold").join(docs.select(F.col("skill_id").alias("gold"), F.col("name").alias("_pn"), F.col("_g").alias("_pg")), "gold")
+    pairs = lexical_hits(spark, sf_dir, 20, pad=False, requests=asked, docs=docs, carry=["gold", "_pn", "_pg"], bring=["name", "_g"]).filter("skill_id <> gold")
+    hidden = F.coalesce(F.lower("name") == F.lower("_pn"), F.lit(False)) | (text.jaccard(F.col("_g"), F.col("_pg")) > 0.6)
+    kept = records.top_per_key(pairs.filter(~hidden).select("query_id", "gold", "skill_id", F.col("rank").alias("_r")), ["query_id"], [F.col("_r")], 9, "place")
+    # The gold record goes before the first of the others, where there is one.
+    row = lambda key, place, positive: F.struct(F.col(key).alias("skill_id"), place.cast("int").alias("place"), F.lit(positive).alias("positive"))
+    other = row("skill_id", F.col("place"), False)
+    return kept.select("query_id", F.inline(F.when(F.col("place") == 1, F.array(row("gold", F.lit(0), True), other)).otherwise(F.array(other))))
 
 
 @query()
 def hard_negatives(spark, sf_dir):
     """Seven hard negatives from a request's fifty best hits and three others, drawn
     by hash among all records outside these hits (the same every time)."""
-    docs = skills_view(spark, sf_dir).select("skill_id", "name", F.transform(text.grams(text.lexical_tokens("t"), 3), lambda g: F.xxhash64(g)).alias("g"))
-    gold = requests_view(spark, sf_dir).join(docs.select("skill_id"), "skill_id", "left_semi").select("query_id", F.col("skill_id").alias("gold"))
-    hits = lexical_hits(spark, sf_dir, 50, pad=False)
-    left = docs.select("skill_id", F.col("name").alias("_n"), F.col("g").alias("_g"))
-    right = docs.select(F.col("skill_id").alias("gold"), F.col("name").alias("_pn"), F.col("g").alias("_pg"))
-    pairs = hits.join(gold, "query_id").filter("skill_id <> gold").join(left, "skill_id").join(right, "gold")
+    # Name and hashed grams come with request and record, so no hit is shuffled before the seven are chosen.
+    docs = skills_view(spark, sf_dir).withColumn("_g", F.transform(text.grams(text.lexical_tokens("t"), 3), lambda g: F.xxhash64(g)))
+    asked = requests_view(spark, sf_dir).withColumnRenamed("skill_id", "gold").join(docs.select(F.col("skill_id").alias("gold"), F.col("name").alias("_pn"), F.col("_g").alias("_pg")), "gold")
+    gold = asked.select("query_id", "gold")
+    hits = lexical_hits(spark, sf_dir, 50, pad=False, requests=asked, docs=docs, carry=["gold", "_pn", "_pg"], bring=["name", "_g"])
+    pairs = hits.filter("skill_id <> gold").withColumnRenamed("name", "_n")
     prefix = (F.length("_n") > 5) & (F.length("_pn") > 5) & (F.lower(F.left("_n", F.lit(5))) == F.lower(F.left("_pn", F.lit(5))))
     hidden = (text.jaccard(F.col("_g"), F.col("_pg")) > 0.6) | F.coalesce(prefix, F.lit(False))
     hard = records.top_per_key(pairs.filter(~hidden).select("query_id", "skill_id", F.col("rank").alias("_r")), ["query_id"], [F.col("_r")], 7, "place").select("query_id", "skill_id", F.lit("hard").alias("kind"))

@@ -119,3 +119,13 @@ def test_weighted_rrf_shuffles_its_hits_once(spark):
 
     plan = QUERIES["weighted_rrf"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(") == 1 and "Join" not in plan and "explode(" not in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the given tables")
+def test_training_candidates_come_from_one_ranking(spark):
+    """Hits meet names and trigrams without a join, and are ranked once."""
+    from corpusloom.plans.search_queries import QUERIES
+
+    plan = QUERIES["reranker_candidates"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("MapInArrow")
+    assert len(above) == 3 and "Join" not in above[0] and "explode(" not in plan
