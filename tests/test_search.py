@@ -129,3 +129,10 @@ def test_training_candidates_come_from_one_ranking(spark):
     plan = QUERIES["reranker_candidates"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     above = plan.split("MapInArrow")
     assert len(above) == 3 and "Join" not in above[0] and "explode(" not in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the given tables")
+def test_hard_negatives_join_no_postings(spark):
+    from corpusloom.plans.search_queries import QUERIES
+
+    assert "explode(_tokens" not in QUERIES["hard_negatives"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
