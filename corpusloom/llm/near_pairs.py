@@ -19,12 +19,15 @@ left out for how many sets share it.
 
 Candidates pass an exact lower bound on the symmetric difference (hashed
 bitmaps) and are then verified on the whole texts, so nothing false comes out.
-
-Signatures travel as packed 12-byte entries in a few blobs per task, not as
-rows; every task sends each class once.  The number of buckets follows from the
-bytes of text, rows arrive sorted by key, and every step holds one bucket or one
-batch at a time.  A signature shared by many classes is dealt out as pairs of
-blocks, so no task lists all its pairs.
+Texts travel for that only if a bitmap over the candidates' ids holds their
+class; names travel once, by themselves.
+
+Signatures travel as packed entries (8 bytes of id, about 2.5 of signature) in a
+few blobs per task, not as rows; every task sends each class once.  The number
+of buckets follows from the bytes of text, rows arrive sorted by key, and every
+step holds one bucket, one cell or one batch at a time.  The classes of a signature
+that many share are dealt out in blocks: every two blocks meet in a cell, where
+all their pairs pass the bound at once, so its pairs never travel.
 """
 
 from __future__ import annotations
@@ -49,13 +52,19 @@ PRICE = 5.0
 BITS = 512
 FLUSH_ENTRIES = 1_000_000
 PAIRS_AT_ONCE = 1_000_000
-#: Classes under one signature beyond which its pairs are dealt out in blocks.
-BLOCK = 512
+#: Classes under one signature beyond which they are dealt out in blocks, and classes of a block.
+BLOCK, CELL = 64, 2048
+#: Rows of cells handed to Spark at once, and pairs compared at once.
+CELL_ROWS, COMPARED = 50_000, 1 << 17
 #: Bytes of text per partition of the joins.
 PART_BYTES = 16 << 20
 ID_BITS = 63
 BANDS = 26
-MAP, BLOB, BLOCKS, NAME = -1, -2, -3, -4
+#: Kinds of rows in the order in which a step meets those of one key; pairs have an id instead.
+INCELL, MAP, MEMBER, BLOB = -4, -3, -2, -1
+#: Places of the bitmap that tells whose texts are sent: so many per candidate, within bits of
+#: a place's number (at the most, more texts than needed are sent), in portions of so many bits.
+PLACES, LEAST_BITS, MOST_BITS, PORTION_BITS = 8, 16, 28, 16
 
 
 def _poisson(mean: float, most: int) -> np.ndarray:
@@ -178,6 +187,23 @@ def _stacked(data: pa.Array, at: np.ndarray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(data.take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), width)
 
 
+def _packed(sig: np.ndarray, ids: np.ndarray) -> bytes:
+    """Entries as one value: lower halves of signatures, sorted, as differences by byte planes, and ids as they are."""
+    low = sig.astype(np.uint32)
+    order = np.argsort(low, kind="stable")
+    low = low[order]
+    planes = np.diff(low, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    body = pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+    return np.uint64(len(sig)).tobytes() + ids.astype("<u8")[order].tobytes() + body
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Lower halves of signatures, and ids."""
+    n = int(np.frombuffer(blob, "<u8", 1)[0])
+    planes = np.frombuffer(pa.decompress(blob[8 * n + 8 :], decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32), np.frombuffer(blob, "<u8", n, 8)
+
+
 MIXED = "key long, other long, data binary"
 
 
@@ -185,9 +211,29 @@ def _batch(key: np.ndarray, other: np.ndarray, data: pa.Array) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(other, pa.int64()), data], ["key", "other", "data"])
 
 
+def _known_sets(texts: pa.Array, n: int, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles with their owners, sizes and ids of the sets of a batch, and the rows of these sets."""
+    gram, owner = shingle_sets(texts, n, least_words)
+    size = np.bincount(owner, minlength=len(texts))
+    real = np.flatnonzero(size)
+    place = np.zeros(len(texts), np.int64)
+    place[real] = np.arange(len(real))
+    owner, size = place[owner], size[real]
+    return gram, owner, size, set_ids(gram, owner, size), real
+
+
+def _fresh(ids: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Which ids come for the first time in this task."""
+    fresh = np.zeros(len(ids), bool)
+    fresh[np.unique(ids, return_index=True)[1]] = True
+    fresh &= np.array([i not in seen for i in ids.tolist()], bool)
+    seen.update(ids[fresh].tolist())
+    return fresh
+
+
 def _signatures(n: int, least_words: int, buckets: int, plan: np.ndarray):
-    """Texts to blobs of ``(signature, class)`` by bucket, and names and bitmaps by
-    class; ``other`` tells which (``MAP``, ``BLOB``, ``NAME``)."""
+    """Texts to blobs of ``(signature, class)`` by bucket, and bitmaps by class;
+    ``other`` tells which (``MAP``, ``BLOB``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -199,30 +245,16 @@ def _signatures(n: int, least_words: int, buckets: int, plan: np.ndarray):
             ids = np.concatenate([h[1] for h in held])
             bucket = (sig >> np.uint64(40)) % np.uint64(buckets)
             order = np.argsort(bucket.astype(np.int32), kind="stable")
-            packed = np.empty((len(sig), 12), np.uint8)
-            packed[:, :4] = sig.astype("<u8")[order][:, None].view(np.uint8)[:, :4]
-            packed[:, 4:] = ids.astype("<u8")[order][:, None].view(np.uint8)
+            sig, ids = sig[order], ids[order]
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
             some = np.flatnonzero(np.diff(edges))
-            blobs = [packed[edges[b] : edges[b + 1]].tobytes() for b in some]
+            blobs = [_packed(sig[edges[b] : edges[b + 1]], ids[edges[b] : edges[b + 1]]) for b in some]
             return _batch(some, np.full(len(some), BLOB), pa.array(blobs, pa.binary()))
 
         for batch in batches:
-            gram, owner = shingle_sets(batch.column(1), n, least_words)
-            size = np.bincount(owner, minlength=batch.num_rows)
-            real = np.flatnonzero(size)
-            if not len(real):
-                continue
-            place = np.zeros(batch.num_rows, np.int64)
-            place[real] = np.arange(len(real))
-            owner, size = place[owner], size[real]
-            ids = set_ids(gram, owner, size)
-            yield _batch(ids.astype(np.int64), np.full(len(ids), NAME), batch.column(0).take(pa.array(real)).cast(pa.binary()))
-            # Copies of a set that this task has sent already send no more than their names.
-            fresh = np.zeros(len(ids), bool)
-            fresh[np.unique(ids, return_index=True)[1]] = True
-            fresh &= np.array([i not in seen for i in ids.tolist()])
-            seen.update(ids[fresh].tolist())
+            gram, owner, size, ids, _ = _known_sets(batch.column(0), n, least_words)
+            # Copies of a set that this task has sent already send nothing more.
+            fresh = _fresh(ids, seen)
             if not fresh.any():
                 continue
             place = np.cumsum(fresh) - 1
@@ -241,6 +273,55 @@ def _signatures(n: int, least_words: int, buckets: int, plan: np.ndarray):
     return run
 
 
+def _named(n: int, least_words: int):
+    """Names and texts to the class of each text and its name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *_, ids, real = _known_sets(batch.column(1), n, least_words)
+            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), batch.column(0).take(pa.array(real))], ["id", "name"])
+
+    return run
+
+
+def _spoken(n: int, least_words: int, marks: np.ndarray, bits: int):
+    """Texts to ``(class, text)``, once per task, of the classes that ``marks`` holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            *_, ids, real = _known_sets(batch.column(0), n, least_words)
+            at = (ids >> np.uint64(ID_BITS - bits)).astype(np.int64)
+            asked = np.flatnonzero(marks[at >> 3] >> (at & 7) & 1)
+            asked = asked[_fresh(ids[asked], seen)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[asked].astype(np.int64)), batch.column(0).take(pa.array(real[asked]))], ["id", "_text"])
+
+    return run
+
+
+def _marks(pairs: DataFrame, parts: int) -> tuple[np.ndarray, int]:
+    """A bitmap of the ids in ``pairs``, by their upper bits, and how many bits these are."""
+    places = max(1, pairs.count()) * 2 * PLACES
+    bits = min(MOST_BITS, max(LEAST_BITS, places.bit_length()))
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+
+    def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = np.unique(batch.column(0).to_numpy() >> (ID_BITS - bits))
+            for portion in np.unique(at >> PORTION_BITS).tolist():
+                own = held.setdefault(portion, np.zeros(1 << (PORTION_BITS - 3), np.uint8))
+                place = at[at >> PORTION_BITS == portion] & ((1 << PORTION_BITS) - 1)
+                np.bitwise_or.at(own, place >> 3, (1 << (place & 7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["portion", "marks"])
+
+    marks = np.zeros(1 << (bits - 3), np.uint8)
+    step = 1 << (PORTION_BITS - 3)
+    for portion, own in ids.repartition(parts, F.shiftright("id", ID_BITS - bits + PORTION_BITS)).mapInArrow(portions, "portion long, marks binary").collect():
+        marks[portion * step : (portion + 1) * step] |= np.frombuffer(own, np.uint8)
+    return marks, bits
+
+
 def _grouped(sig: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids sorted by signature, and where each signature begins (with the end)."""
     order = np.lexsort((ids, sig))
@@ -282,23 +363,18 @@ def _rows_by_kind(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Arr
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blobs, sorted by bucket, to pairs ``(key, other)``, smaller id first, and to
-    pairs of blocks where a signature has many ids; the rest passes."""
+    """Blobs, sorted by bucket, to pairs ``(key, other)``, smaller id first, and where
+    a signature has many ids to members of its blocks; the rest passes."""
 
     def pairs(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        packed = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 12)
-        sig = np.zeros((len(packed), 8), np.uint8)
-        sig[:, :4] = packed[:, :4]
-        ids, edges = _grouped(sig.view("<u8").ravel(), np.ascontiguousarray(packed[:, 4:]).view("<u8").ravel())
+        ids, edges = _grouped(*(np.concatenate(x) for x in zip(*map(_unpacked, blobs))))
         held = np.diff(edges)
         for g in np.flatnonzero(held > BLOCK).tolist():
             own = ids[edges[g] : edges[g + 1]]
-            blocks = [own[s : s + BLOCK] for s in range(0, len(own), BLOCK)]
-            for i, x in enumerate(blocks):
-                # Row by row, so that the rows of one huge signature do not pile up.
-                rows = [np.concatenate([[len(x)], x, y]).astype("<u8").tobytes() for y in blocks[i:]]
-                key = mix64(np.arange(len(rows), dtype=np.uint64) + own[i]).astype(np.int64)
-                yield _batch(key, np.full(len(rows), BLOCKS), pa.array(rows, pa.binary()))
+            rows = np.empty((len(own), 3), "<u8")
+            # Signatures with the same classes have the same cells.
+            rows[:, 0], rows[:, 1], rows[:, 2] = mix64(own).sum(dtype=np.uint64), np.arange(len(own)) // CELL, -(-len(own) // CELL)
+            yield _batch(own.astype(np.int64), np.full(len(own), MEMBER), _binary(rows.view(np.uint8)))
         few = held <= BLOCK
         keep = np.repeat(few, held)
         for a, b in _pairs_of(ids[keep], np.r_[0, np.cumsum(held[few])]):
@@ -320,31 +396,16 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pairs(blobs)
 
 
-def _expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of blocks to pairs of ids; the rest passes."""
-    for batch in batches:
-        _, other, data = _rows_by_kind(batch)
-        rest = np.flatnonzero(other != BLOCKS)
-        if len(rest):
-            yield batch.take(pa.array(rest))
-        for i in np.flatnonzero(other == BLOCKS).tolist():
-            packed = np.frombuffer(data[i].as_py(), "<u8").astype(np.int64)
-            x, y = packed[1 : packed[0] + 1], packed[packed[0] + 1 :]
-            a, b = np.repeat(x, len(y)), np.tile(y, len(x))
-            good = a < b
-            yield _batch(a[good], b[good], pa.nulls(int(good.sum()), pa.binary()))
-
-
 class _Sorted:
-    """Walks rows sorted by key, a bitmap before the pairs of its key, and keeps
-    the last bitmap from one batch to the next."""
+    """Walks rows sorted by key, a bitmap before the members and pairs of its key,
+    and keeps the last bitmap from one batch to the next."""
 
     def __init__(self) -> None:
         self.key, self.row = None, None
         self.last = (None, None)
 
     def read(self, batch: pa.RecordBatch):
-        """First rows of bitmaps, pairs that are new, and the bitmap of each such pair."""
+        """First rows of bitmaps, members and pairs that are new, and the bitmap of each of these."""
         key, other, data = _rows_by_kind(batch)
         width = 4 + BITS // 8
         maps = np.flatnonzero(other == MAP)
@@ -353,11 +414,11 @@ class _Sorted:
         if self.key is not None:
             held, own_key = np.concatenate([self.row[None], held]), np.r_[self.key, own_key]
             maps = np.r_[-1, maps]
-        pairs = np.flatnonzero(other >= 0)
+        pairs = np.flatnonzero((other >= 0) | (other == MEMBER))
         new = np.r_[True, (key[1:] != key[:-1]) | (other[1:] != other[:-1])]
         if len(key) and (key[0], other[0]) == self.last:
             new[0] = False
-        pairs = pairs[new[pairs]]
+        pairs = pairs[new[pairs] | (other[pairs] == MEMBER)]
         at = np.searchsorted(maps, pairs, side="right") - 1
         good = at >= 0
         good[good] = own_key[at[good]] == key[pairs[good]]
@@ -367,38 +428,95 @@ class _Sorted:
             self.key, self.row = own_key[-1], held[-1]
         if len(key):
             self.last = (key[-1], other[-1])
-        return key, other, data, fresh, pairs, held[at] if len(pairs) else np.zeros((0, width), np.uint8)
+        return key, other, fresh, pairs, held[at] if len(pairs) else np.zeros((0, width), np.uint8)
+
+
+def _cells(ids: np.ndarray, members: np.ndarray, maps: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Members with their bitmaps to each of the cells of their blocks: id, place in
+    the cell (0 or 1, 2 where a block meets itself), bitmap."""
+    group, block, blocks = members.T
+    ends = np.cumsum(blocks.astype(np.int64))
+    total = int(ends[-1]) if len(ends) else 0
+    for first in range(0, total, CELL_ROWS):
+        row = np.arange(first, min(total, first + CELL_ROWS))
+        at = np.searchsorted(ends, row, side="right")
+        own, met = block[at], (row - (ends[at] - blocks[at].astype(np.int64))).astype(np.uint64)
+        key = mix64(group[at] + mix64(np.minimum(own, met) * np.uint64(1_000_003) + np.maximum(own, met) + np.uint64(29)))
+        place = np.where(own == met, 2, own > met).astype(np.uint8)
+        data = np.concatenate([ids[at].astype("<i8")[:, None].view(np.uint8), place[:, None], maps[at]], axis=1)
+        yield _batch(key.astype(np.int64), np.full(len(row), INCELL), _binary(data))
 
 
 def _attached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs, sorted by their first id, take its bitmap along to their second id."""
+    """Pairs, sorted by their first id, take its bitmap along to their second id, members theirs to their cells."""
     walk = _Sorted()
     for batch in batches:
-        key, other, _, fresh, pairs, maps = walk.read(batch)
-        passing = np.union1d(fresh, np.flatnonzero(other == NAME))
-        if len(passing):
-            yield batch.take(pa.array(passing, pa.int64()))
+        key, other, fresh, pairs, maps = walk.read(batch)
+        if len(fresh):
+            yield batch.take(pa.array(fresh, pa.int64()))
+        member = other[pairs] == MEMBER
+        if member.any():
+            rows = _stacked(batch.column(2), pairs[member], 24).view("<u8").reshape(-1, 3)
+            yield from _cells(key[pairs[member]], rows, maps[member])
+        pairs, maps = pairs[~member], maps[~member]
         if len(pairs):
             yield _batch(other[pairs], key[pairs], _binary(maps))
 
 
+def _within_cell(rows: np.ndarray, most_apart: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a cell that pass the bound."""
+    ids = np.ascontiguousarray(rows[:, :8]).view("<i8").ravel()
+    sides = []
+    for place in (0, 1, 2):
+        mine = np.flatnonzero(rows[:, 8] == place)
+        mine = mine[np.unique(ids[mine], return_index=True)[1]]
+        size = np.ascontiguousarray(rows[mine, 9:13]).view("<u4").ravel().astype(np.int64)
+        sides.append((ids[mine], size, np.ascontiguousarray(rows[mine, 13:]).view(np.uint64)))
+    for (a, size_a, bits_a), (b, size_b, bits_b), itself in ((sides[0], sides[1], False), (sides[2], sides[2], True)):
+        step = max(1, COMPARED // max(1, len(b)))
+        for s in range(0, len(a) if len(b) else 0, step):
+            apart = np.zeros((len(a[s : s + step]), len(b)), np.uint16)
+            for word in range(bits_a.shape[1]):
+                apart += np.bitwise_count(bits_a[s : s + step, word, None] ^ bits_b[None, :, word])
+            x, y = np.nonzero(apart <= (size_a[s : s + step, None] + size_b[None, :]) * most_apart + 1e-9)
+            x, y = a[s + x], b[y]
+            good = x < y if itself else x != y
+            yield np.minimum(x, y)[good], np.maximum(x, y)[good]
+
+
 def _bounded(threshold: float):
-    """Pairs whose symmetric difference may be small enough, by the bitmaps' bound; names pass."""
+    """Pairs, single or of a cell, whose symmetric difference may be small enough, by the bitmaps' bound."""
+    most_apart = (1 - threshold) / (1 + threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1).astype(np.int32)
         walk = _Sorted()
+        cell, held = None, []
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            for a, b in _within_cell(np.concatenate(held), most_apart):
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
         for batch in batches:
-            key, other, data, _, pairs, y = walk.read(batch)
-            names = np.flatnonzero(other == NAME)
-            if len(names):
-                yield batch.take(pa.array(names))
+            key, other, _, pairs, y = walk.read(batch)
+            members = np.flatnonzero(other == INCELL)
+            if len(members):
+                rows, keys = _stacked(batch.column(2), members, 9 + y.shape[1]), key[members]
+                edges = np.r_[np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]), len(keys)]
+                for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                    if keys[s] != cell and held:
+                        yield from closed()
+                        held = []
+                    cell = keys[s]
+                    held.append(rows[s:e])
             if len(pairs):
-                x = _stacked(data, pairs, y.shape[1])
+                x = _stacked(batch.column(2), pairs, y.shape[1])
                 size = sum(np.ascontiguousarray(v[:, :4]).view("<u4").ravel().astype(np.int64) for v in (x, y))
-                apart = count[x[:, 4:] ^ y[:, 4:]].sum(axis=1)
-                good = pairs[apart <= size * (1 - threshold) / (1 + threshold) + 1e-9]
-                yield _batch(other[good], key[good], pa.nulls(len(good), pa.binary()))
+                apart = np.bitwise_count(x[:, 4:] ^ y[:, 4:]).sum(axis=1, dtype=np.int64)
+                good = pairs[apart <= size * most_apart + 1e-9]
+                yield pa.RecordBatch.from_arrays([pa.array(other[good], pa.int64()), pa.array(key[good], pa.int64())], ["a", "b"])
+        if held:
+            yield from closed()
 
     return run
 
@@ -437,18 +555,17 @@ def near_classes(records: DataFrame, name: str, text: str, shingle: int = 5, thr
     rows, volume = docs.agg(F.count("*"), F.sum(F.octet_length("_text"))).first()
     parts = max(records.sparkSession.sparkContext.defaultParallelism, -(-(volume or 0) // PART_BYTES))
     plan = allocation(threshold, max(3, len(str(rows)) - 1))
-    signed = docs.mapInArrow(_signatures(shingle, least_words, 4 * parts, plan), MIXED)
+    signed = docs.select("_text").mapInArrow(_signatures(shingle, least_words, 4 * parts, plan), MIXED)
     routed = signed.repartition(parts, "key").sortWithinPartitions("key", "other").mapInArrow(_candidates, MIXED)
-    routed = routed.repartition(parts, "key").mapInArrow(_expanded, MIXED)
     routed = routed.repartition(parts, "key").sortWithinPartitions("key", "other").mapInArrow(_attached, MIXED)
-    routed = routed.repartition(parts, "key").sortWithinPartitions("key", "other").mapInArrow(_bounded(threshold), MIXED)
-    routed = cut(routed)
-    close = routed.filter(F.col("other") >= 0).select(F.col("key").alias("a"), F.col("other").alias("b"))
-    members = routed.filter(F.col("other") == NAME).select(F.col("key").alias("id"), F.col("data").cast("string").alias("name")).distinct()
-    used = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
-    # One member's text stands for its class.
-    speaker = members.join(used, "id", "left_semi").groupBy("id").agg(F.min("name").alias("_name"))
-    classes = docs.join(speaker, "_name").select("id", "_text")
+    routed = routed.repartition(parts, "key").sortWithinPartitions("key", "other").mapInArrow(_bounded(threshold), "a long, b long")
+    close = cut(routed.distinct())
+    # Columns that can't be null get no filters of their own, so all that read members or texts share one exchange by id.
+    sure = lambda c, none: F.coalesce(F.col(c), F.lit(none)).alias(c)
+    members = docs.mapInArrow(_named(shingle, least_words), "id long, name string").select(sure("id", 0), sure("name", "")).repartition("id").distinct()
+    spoken = docs.select("_text").mapInArrow(_spoken(shingle, least_words, *_marks(close, parts)), "id long, _text string")
+    # Texts of one class have the same set, so any of them stands for it.
+    classes = spoken.select(sure("id", 0), sure("_text", "")).repartition("id").dropDuplicates(["id"])
     first = classes.select(F.col("id").alias("a"), F.col("_text").alias("_text_a"))
     second = classes.select(F.col("id").alias("b"), F.col("_text").alias("_text_b"))
     met = close.join(first, "a").join(second, "b").select("a", "b", "_text_a", "_text_b")

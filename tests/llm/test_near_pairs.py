@@ -70,3 +70,54 @@ def test_one_hot_class_and_a_hot_signature(spark, monkeypatch):
     assert links.count() == 21 * 20 // 2
     assert sorted(r["count"] for r in members.groupBy("id").count().collect()) == [1] * 20 + [40]
     assert N.near_pairs(frame.limit(0), "key", "text").count() == 0
+
+
+def test_a_name_with_two_texts_vouches_for_neither(spark):
+    """A class is verified by a text of its own, not by another text of one of its names."""
+    base = [f"w{k}" for k in range(120)]
+    one, two = " ".join(base), " ".join([*base[:79], *(f"v{k}" for k in range(41))])
+    assert len(shingles(one, 3) & shingles(two, 3)) / len(shingles(one, 3) | shingles(two, 3)) < 0.5
+    frame = spark.createDataFrame([("a", one), ("a", two), ("c", one), ("x", two)], "key string, text string")
+    got = {(r.a, r.b) for r in N.near_pairs(frame, "key", "text", shingle=3, threshold=0.5).collect()}
+    assert got == {("a", "c"), ("a", "x")}
+
+
+def test_pairs_of_a_shared_signature_do_not_travel():
+    """A signature of many classes sends each of them once; its pairs, 4.5 million here, are never rows."""
+    ids = np.arange(1, 3001, dtype=np.uint64) * np.uint64(7919)
+    blob = N._packed(np.full(len(ids), 5, np.uint64), ids)
+    batch = N._batch(np.zeros(1), np.full(1, N.BLOB), N.pa.array([blob], N.pa.binary()))
+    assert sum(x.num_rows for x in N._candidates(iter([batch]))) == len(ids)
+
+
+def test_cells_list_what_pairs_one_by_one_would(monkeypatch):
+    """Blocks of a few classes in many cells, and batches that end within a cell."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**64, 120, dtype=np.uint64)
+    gram = np.concatenate([np.sort(np.r_[base[: 118 - k], rng.integers(0, 2**64, k, dtype=np.uint64)]) for k in range(90)])
+    owner, size = np.repeat(np.arange(90), 118), np.full(90, 118)
+    ids = N.set_ids(gram, owner, size)
+    maps = N._batch(ids.astype(np.int64), np.full(90, N.MAP), N._binary(N._bitmaps(gram, owner, size)))
+    blob = N._batch(np.zeros(1), np.full(1, N.BLOB), N.pa.array([N._packed(np.full(90, 5, np.uint64), ids)], N.pa.binary()))
+
+    def close(cut_at):
+        def ordered(batches):
+            whole = N.pa.Table.from_batches(batches).sort_by([("key", "ascending"), ("other", "ascending")])
+            return iter(whole.to_batches(max_chunksize=cut_at))
+
+        met = N._bounded(0.5)(ordered(list(N._attached(ordered([maps, *N._candidates(iter([blob]))])))))
+        return {pair for x in met for pair in zip(x.column(0).to_pylist(), x.column(1).to_pylist())}
+
+    monkeypatch.setattr(N, "BLOCK", 1000)
+    single = close(100)
+    for name, value in (("BLOCK", 2), ("CELL", 7), ("CELL_ROWS", 5), ("COMPARED", 20)):
+        monkeypatch.setattr(N, name, value)
+    assert close(3) == single and 500 < len(single) < 90 * 89 // 2
+
+
+def test_packed_entries_come_back():
+    rng = np.random.default_rng(2)
+    sig, ids = rng.integers(0, 2**64, 1000, dtype=np.uint64), rng.integers(0, 2**63, 1000).astype(np.uint64)
+    low, back = N._unpacked(N._packed(sig, ids))
+    assert sorted(zip(low.tolist(), back.tolist())) == sorted(zip((sig & np.uint64(0xFFFFFFFF)).tolist(), ids.tolist()))
+    assert len(N._packed(sig, ids)) < 11.5 * len(ids)
