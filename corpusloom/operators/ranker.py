@@ -2,10 +2,12 @@
 
 Documents are reduced to the terms that some request asks for and written once, in the
 order of their keys, to the shared folder.  A task holds a group of requests and reads
-all documents in blocks; a term's weights in a block are one vector, a request's scores
-the sum of its terms' vectors, and only the best ``k`` are kept.  Requests are
+all documents in blocks; a term's weights in a block are one vector, and the sum of a
+request's vectors tells its scores, of which only the best ``k`` are kept.  The sums are
+made of weights rounded up to 16-bit steps, so they are bounds; only documents whose bound
+reaches the ``k``-th best score so far are scored in full.  Requests are
 sorted by their terms, the most asked first, so those with the same first terms share
-the sum over them.  Nothing is left out: every document is scored for every request.
+the sum over them.  Nothing is left out: every document is bounded for every request.
 """
 
 from __future__ import annotations
@@ -25,10 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 K1, B = 1.5, 0.75
-#: Documents and postings of a block, requests of a task, rows handed to Spark at once.
-BLOCK, POSTINGS, REQUESTS, ROWS = 16384, 1 << 21, 16384, 20_000
+#: Documents and postings of a block, requests of a task, rows read and handed to Spark at once.
+BLOCK, POSTINGS, REQUESTS, READ, ROWS = 32768, 1 << 21, 16384, 16384, 20_000
 #: Requests whose lists are joined at once.
 TOGETHER = 1024
+#: A term is a vector of its block if one of so many documents holds it.
+DENSE = 32
 
 
 @dataclass
@@ -80,6 +84,11 @@ def _keep(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def kept(rows: DataFrame) -> DataFrame:
+    """The rows, written once to the shared folder, for plans that read them several times."""
+    return _keep(rows, f"{_shared(rows.sparkSession)}/rows")
+
+
 def _files(path: str):
     """The Parquet files of a folder in the order of their partitions."""
     from pyarrow import fs
@@ -89,17 +98,22 @@ def _files(path: str):
     return files, names
 
 
-def _batches(path: str, columns: list[str]):
-    """``(number of the first row, batch)`` over all rows in order."""
+def _batches(path: str, columns: list[str], least: int = 1):
+    """``(number of the first row, batch)`` over all rows in order; batches are joined until they hold ``least`` rows."""
     import pyarrow.parquet as pq
 
     files, names = _files(path)
-    base = 0
+    base, held, count = 0, [], 0
     for name in names:
         with files.open_input_file(name) as source:
-            for batch in pq.ParquetFile(source).iter_batches(BLOCK, columns=columns):
-                yield base, batch
-                base += len(batch)
+            for batch in pq.ParquetFile(source).iter_batches(READ, columns=columns):
+                held.append(batch)
+                count += len(batch)
+                if count >= least:
+                    yield base, pa.concat_batches(held)
+                    base, held, count = base + count, [], 0
+    if count:
+        yield base, pa.concat_batches(held)
 
 
 def _codes(lists: pa.ListArray, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -114,9 +128,9 @@ def _lists(values: np.ndarray, rows: np.ndarray, n: int) -> pa.ListArray:
 
 
 def _weights(batch: pa.RecordBatch, base: int, c: int, known: np.ndarray, idf: np.ndarray, mean: float):
-    """Per block: number of its first row, its size, and terms -> weights (a vector, or places and weights).
+    """Per block: number of its first row, its size, terms -> places and weights, and by document where it begins, terms and weights.
 
-    The first blocks are small: they give the bounds that leave few documents of the next ones to be sorted."""
+    The first blocks are small: they give the bounds that leave few documents of the next ones to be scored."""
     ids, tfs = batch.column(f"_ids{c}"), batch.column(f"_tfs{c}")
     ends = np.r_[0, np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))].astype(np.int64)
     ids, tfs, length = ids.flatten().to_numpy(), tfs.flatten().to_numpy(), batch.column(f"_dl{c}").to_numpy().astype(float)
@@ -127,22 +141,41 @@ def _weights(batch: pa.RecordBatch, base: int, c: int, known: np.ndarray, idf: n
         term, tf, doc = ids[part], tfs[part].astype(float), np.repeat(np.arange(n), np.diff(ends[start : stop + 1]))
         asked = known[term]
         term, tf, doc = term[asked], tf[asked], doc[asked]
-        order = np.argsort(term, kind="stable")
-        term, tf, doc = term[order], tf[order], doc[order]
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[start:stop][doc] / mean))
-        first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
-        rows = {}
-        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(term)]):
-            if (b - a) * 8 >= n:
-                row = np.zeros(n)
-                row[doc[a:b]] = weight[a:b]
-                rows[int(term[a])] = (None, row)
-            else:
-                rows[int(term[a])] = (doc[a:b], weight[a:b])
-        yield start, n, rows
+        order = np.argsort(term.astype(np.uint16) if len(idf) <= 1 << 16 else term, kind="stable")  # of 16 bits in one pass
+        ranked, places, weights = term[order], doc[order], weight[order]
+        first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(term) else np.zeros(0, np.int64)
+        rows = {int(ranked[a]): (places[a:b], weights[a:b]) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(term)])}
+        yield start, n, rows, (np.searchsorted(doc, np.arange(n + 1)), term, weight)
         start = stop
 
 
+def _steps(rows: dict, n: int, unit: float) -> dict:
+    """Weights in steps, rounded up: terms -> places and steps, or None and a vector."""
+    out = {}
+    for t, (at, w) in rows.items():
+        steps = (np.floor(w * unit) + 1).astype(np.uint16)
+        if len(at) * DENSE >= n:
+            row = np.zeros(n, np.uint16)
+            row[at] = steps
+            out[t] = (None, row)
+        else:
+            out[t] = (at, steps)
+    return out
+
+
+def _exact(times: np.ndarray, held: tuple, found: np.ndarray) -> np.ndarray:
+    """Scores of a few documents of a block; ``times`` tells how often each term is asked."""
+    begin, term, weight = held
+    low = begin[found]
+    count = begin[found + 1] - low
+    row = np.repeat(np.arange(len(found)), count)
+    at = np.arange(len(row)) + np.repeat(low - (np.cumsum(count) - count), count)
+    often = times[term[at]]
+    asked = np.flatnonzero(often)
+    return np.bincount(row[asked], weight[at[asked]] * often[asked], len(found))
+
+
 def _best(queries: list[list[int]], path: str, c: int, k: int, idf: np.ndarray, mean: float, digits: int) -> list:
     """``(numbers, scores)`` of the best ``k`` documents of every request, best first."""
     order = sorted(range(len(queries)), key=queries.__getitem__)
@@ -156,9 +189,27 @@ def _best(queries: list[list[int]], path: str, c: int, k: int, idf: np.ndarray,
     depth = max(common) + 2
     none = (np.zeros(0, np.int64), np.zeros(0))
     kept, least = [none] * len(terms), [0.0] * len(terms)
-    for base, batch in _batches(path, [f"_ids{c}", f"_tfs{c}", f"_dl{c}"]):
-        for start, n, rows in _weights(batch, base, c, known, idf, mean):
-            sums, over, scale = np.zeros((depth, n)), np.empty(n, bool), 10.0**digits  # sums[d]: of the first d terms; the last: of all
+    flat, ends, long = np.array([t for q in terms for t in q], np.int64), np.cumsum([len(q) for q in terms]), max(map(len, terms), default=0)
+    scale, times, distinct = 10.0**digits, np.zeros(len(idf)), []
+    for q in terms:
+        own, often = np.array(q, np.int64), 1.0
+        if len(set(q)) < len(q):
+            own, often = np.unique(own, return_counts=True)
+        distinct.append((own, often))
+    for base, batch in _batches(path, [f"_ids{c}", f"_tfs{c}", f"_dl{c}"], BLOCK):
+        for start, n, rows, held in _weights(batch, base, c, known, idf, mean):
+            # The largest sum of any request, its roundings included, fits into 16 bits.
+            tops = np.zeros(len(idf))
+            tops[list(rows)] = [w.max() for _, w in rows.values()]
+            total = np.r_[0.0, np.cumsum(tops[flat])]
+            most = float((total[ends] - total[np.r_[0, ends[:-1]]]).max()) if len(terms) else 0.0
+            if most <= 0:
+                continue
+            if long >= 1 << 15:
+                raise ValueError("a request of 32,768 terms or more")
+            unit = (65535 - long - 1) / (most * (1 + 1e-9))
+            steps = _steps(rows, n, unit)
+            sums, over = np.zeros((depth, n), np.uint16), np.empty(n, bool)  # sums[d]: of the first d terms; the last: of all
             full = sums[depth - 1]
             for i, q in enumerate(terms):
                 same, ahead = common[i], common[i + 1]
@@ -168,7 +219,7 @@ def _best(queries: list[list[int]], path: str, c: int, k: int, idf: np.ndarray,
                     now = sums[same]
                     for d in range(same, len(q)):
                         to = sums[d + 1] if d < ahead else full
-                        at, w = rows.get(q[d], (None, None))
+                        at, w = steps.get(q[d], (None, None))
                         if w is None:
                             if now is not to:
                                 np.copyto(to, now)
@@ -179,11 +230,23 @@ def _best(queries: list[list[int]], path: str, c: int, k: int, idf: np.ndarray,
                                 np.copyto(to, now)
                             to[at] += w
                         now = to
-                np.greater(now, least[i], out=over)
+                # One step less for what the sums of full weights lose by rounding.
+                bound = max(0, int(least[i] * unit) - 1)
+                if bound >= 65535:
+                    continue
+                np.greater(now, np.uint16(bound), out=over)
                 found = np.flatnonzero(over)
                 if not len(found):
                     continue
-                score = np.floor(now[found] * scale + 0.5) / scale
+                if len(found) > 2 * k:
+                    # Sums are too large by less than a step a term; a score in last place is left to the full sums.
+                    reach = now[found]
+                    edge = int(np.partition(reach, len(reach) - k)[len(reach) - k]) - len(q) - int(unit / scale) - 3
+                    found = found[reach >= edge] if edge > 0 else found
+                own, often = distinct[i]
+                times[own] = often
+                score = np.floor(_exact(times, held, found) * scale + 0.5) / scale
+                times[own] = 0.0
                 better = score > least[i]  # of equal scores the smaller key stays, which came before
                 found, score = found[better], score[better]
                 if not len(found):

@@ -136,3 +136,47 @@ def test_hard_negatives_join_no_postings(spark):
     from corpusloom.plans.search_queries import QUERIES
 
     assert "explode(_tokens" not in QUERIES["hard_negatives"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def _written(folder, rows: int, terms: int, seed: int):
+    """Documents of one channel as the kernel reads them, in three files."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    draw = np.random.default_rng(seed)
+    ids = [sorted(draw.choice(terms, draw.integers(0, 12), replace=False).tolist()) for _ in range(rows)]
+    tfs = [draw.integers(1, 6, len(x)).tolist() for x in ids]
+    table = pa.table({"_ids0": pa.array(ids, pa.list_(pa.int32())), "_tfs0": pa.array(tfs, pa.list_(pa.int32())), "_dl0": pa.array([sum(x) for x in tfs], pa.int32())})
+    for i in range(3):
+        pq.write_table(table.slice(i * rows // 3, (i + 1) * rows // 3 - i * rows // 3), folder / f"part-{i}.parquet")
+    return draw, ids, tfs
+
+
+@pytest.mark.parametrize("k", [1, 7, 400])
+def test_few_documents_are_scored_in_full_and_the_best_stay(tmp_path, monkeypatch, k):
+    """Sums in 16-bit steps leave few documents to be scored; the lists are those of full scores, repeated terms and ties included."""
+    import numpy as np
+
+    draw, ids, tfs = _written(tmp_path, 3000, 40, 8)
+    queries = [sorted(draw.choice(40, draw.integers(0, 9)).tolist()) for _ in range(60)]
+    idf, scored, exact = np.linspace(0.01, 6, 40), [], ranker._exact
+    monkeypatch.setattr(ranker, "BLOCK", 256)
+    monkeypatch.setattr(ranker, "_exact", lambda times, held, found: scored.append(len(found)) or exact(times, held, found))
+    got = ranker._best(queries, str(tmp_path), 0, k, idf, 20.0, 6)
+    for q, (nos, scores) in zip(queries, got):
+        full = []
+        for i, (terms, times) in enumerate(zip(ids, tfs)):
+            held, length = dict(zip(terms, times)), sum(times)
+            score = sum(idf[t] * held[t] * 2.5 / (held[t] + 1.5 * (0.25 + 0.75 * length / 20.0)) for t in q if t in held)
+            if round(score, 6) > 0:
+                full.append((-round(score, 6), i))
+        want = sorted(full)[:k]
+        assert nos.tolist() == [i for _, i in want] and np.allclose(scores, [-s for s, _ in want], atol=2e-6)
+    if k < 100:
+        assert sum(scored) < 60 * 3000 / 10
+
+
+def test_small_files_are_read_as_whole_blocks(tmp_path):
+    _written(tmp_path, 90, 12, 1)
+    assert [(base, len(batch)) for base, batch in ranker._batches(str(tmp_path), ["_dl0"], 50)] == [(0, 60), (60, 30)]
