@@ -168,7 +168,8 @@ def weighted_rrf(spark, sf_dir):
 
 def _metrics(spark, sf_dir) -> DataFrame:
     asked = requests_view(spark, sf_dir).filter("skill_id IS NOT NULL")
-    known = asked.join(skills_view(spark, sf_dir).select("skill_id"), "skill_id", "left_semi")
+    # The ranking and its metrics read these requests several times; the records are not reduced again for each.
+    known = ranker.kept(asked.join(skills_view(spark, sf_dir).select("skill_id"), "skill_id", "left_semi"))
     gold = known.select("query_id", "skill_id", F.lit(1.0).alias("gain"))
     # Of a request's fifty hits only the gold record counts, so the others end where they were found.
     hits = lexical_hits(spark, sf_dir, 50, requests=known.withColumnRenamed("skill_id", "gold"), carry=["gold"]).filter("skill_id = gold").drop("gold")

@@ -180,3 +180,11 @@ def test_few_documents_are_scored_in_full_and_the_best_stay(tmp_path, monkeypatc
 def test_small_files_are_read_as_whole_blocks(tmp_path):
     _written(tmp_path, 90, 12, 1)
     assert [(base, len(batch)) for base, batch in ranker._batches(str(tmp_path), ["_dl0"], 50)] == [(0, 60), (60, 30)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the given tables")
+def test_metrics_reduce_the_records_once(spark):
+    """Requests with a known gold record are found once, not again for every place that reads them."""
+    from corpusloom.plans.search_queries import QUERIES
+
+    assert "skills.parquet" not in QUERIES["macro_mrr"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
