@@ -20,7 +20,7 @@ def document_frequency(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
 def bm25(
     requests: DataFrame, request: str, terms: Column, docs: DataFrame, key: str, tokens: Column, k: int,
     repeated: bool = False, stop_share: float | None = None, stop_from: int = 10, pad: bool = False, digits: int = 6,
-    carry: list[str] = (), bring: list[str] = (),
+    carry: list[str] = (), bring: list[str] = (), others: int = 0,
 ) -> DataFrame:
     """The ``k`` best documents of every request: ``(request, key, score, rank)``.
 
@@ -30,8 +30,9 @@ def bm25(
     go by key.  With ``pad`` a request always has ``k`` documents: those without
     any term follow with score 0, in the order of their keys.  Requests with a
     null id are dropped; repeated requests must be made distinct before.  ``carry``
-    and ``bring`` are further columns of requests and documents to be kept.
+    and ``bring`` are further columns of requests and documents to be kept.  With
+    ``others`` there are so many rows of documents outside the list, as in ``search``.
     """
     channel = ranker.Channel(terms, tokens, k, repeated, stop_share, stop_from, pad, digits)
-    best = ranker.search(requests, request, docs, key, [channel], carry, bring)
-    return best.select(request, key, F.col("score0").alias("score"), F.col("rank0").alias("rank"), *carry, *bring)
+    best = ranker.search(requests, request, docs, key, [channel], carry, bring, others=others)
+    return best.select(request, key, F.col("score0").alias("score"), F.col("rank0").alias("rank"), *carry, *bring, *(["other"] if others else []))

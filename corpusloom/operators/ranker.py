@@ -12,6 +12,7 @@ the sum over them.  Nothing is left out: every document is bounded for every req
 
 from __future__ import annotations
 
+import random
 import re
 import tempfile
 import uuid
@@ -273,6 +274,20 @@ def _padded(hits: tuple[np.ndarray, np.ndarray], k: int, n: int) -> tuple[np.nda
     return np.r_[nos, spare], np.r_[scores, np.zeros(len(spare))]
 
 
+def _others(best: list[list], ids: list, count: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, request and place of ``count`` documents a request that none of its lists holds, or all of these if there are fewer."""
+    found = []
+    for q, own in enumerate(ids):
+        taken, draw = {x for lists in best for x in lists[q][0].tolist()}, random.Random(str(own))
+        for place in range(1, min(count, n - len(taken)) + 1):
+            no = draw.randrange(n)
+            while no in taken:
+                no = draw.randrange(n)
+            taken.add(no)
+            found.append((no, q, place))
+    return tuple(np.array(found, np.int64).reshape(-1, 3).T)
+
+
 def _beside(best: list[list]) -> tuple[np.ndarray, np.ndarray, list, list]:
     """Documents and requests, by document, that any channel lists; per channel where it lists them, the scores and the ranks; per channel the places of its list."""
     many, lists = len(best[0]), []
@@ -314,7 +329,7 @@ def _fused(best: list[list], offset: int, fuse: Fuse) -> tuple[np.ndarray, ...]:
     return no[order], q[order] + offset, total[order], place[top]
 
 
-def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channels: list[Channel], carry: list[str] = (), bring: list[str] = (), fuse: Fuse | None = None) -> DataFrame:
+def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channels: list[Channel], carry: list[str] = (), bring: list[str] = (), fuse: Fuse | None = None, others: int = 0) -> DataFrame:
     """Rows ``(request, *carry, key, *bring, score0, rank0, score1, ...)``: every document
     that is among the best of a channel, with null where a channel does not list it.
     ``carry`` are further columns of requests, ``bring`` of documents.
@@ -322,6 +337,10 @@ def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channel
     With ``fuse`` the columns of channels give way to ``fused`` and ``rank``, and only
     the best of a request stay.
 
+    With ``others`` there are rows of so many further documents a request, drawn
+    among all that no channel lists, by the request's id; ``other`` numbers them, and
+    is null for what is listed.
+
     Requests with a null id and documents with a null key are dropped; both ids must
     be distinct."""
     spark, many = requests.sparkSession, range(len(channels))
@@ -383,6 +402,7 @@ def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channel
         fields = [T.StructField("fused", T.DoubleType()), T.StructField("rank", T.IntegerType())]
     else:
         fields = [T.StructField(f"{x}{i}", T.IntegerType() if x == "rank" else T.DoubleType()) for i in many for x in ("score", "rank")]
+        fields += [T.StructField("other", T.IntegerType())] if others else []
     result = T.StructType([asked.schema[x] for x in (request, *carry)] + [docs.schema[x] for x in (key, *bring)] + fields)
 
     def score(batches):
@@ -402,6 +422,12 @@ def search(requests: DataFrame, request: str, docs: DataFrame, key: str, channel
         else:
             no, q, lists, _ = _beside(best)
             values = [pa.array(x, mask=~held) for held, *columns in lists for x in columns]
+            if others:
+                more, theirs, place = _others(best, group.column(request).to_pylist(), others, n)
+                values = [pa.concat_arrays([x, pa.nulls(len(more), x.type)]) for x in values] + [pa.concat_arrays([pa.nulls(len(no), pa.int32()), pa.array(place, pa.int32())])]
+                no, q = np.r_[no, more], np.r_[q, theirs]
+                order = np.argsort(no, kind="stable")
+                no, q, values = no[order], q[order], [x.take(pa.array(order)) for x in values]
         # Rows are in the order of documents, so the files are read once more, front to back.
         for base, batch in _batches(path, [key, *bring]):
             low, high = np.searchsorted(no, [base, base + len(batch)])

@@ -33,6 +33,11 @@ def skills_view(spark, sf_dir: str) -> DataFrame:
     return rows.withColumn("t", F.concat_ws(" ", "name", "description", F.substring("body", 1, BODY_MAX)))
 
 
+def whole_view(spark, sf_dir: str) -> DataFrame:
+    """The records of ``skills_view`` with the whole of their bodies."""
+    return skills_view(spark, sf_dir).withColumn("t", F.concat_ws(" ", "name", "description", "body"))
+
+
 def requests_view(spark, sf_dir: str) -> DataFrame:
     """Distinct requests with a text; their gold record may be unknown."""
     return read(spark, sf_dir, "match_queries").filter("query_id IS NOT NULL AND instruction_text IS NOT NULL").select("query_id", "skill_id", "category", "instruction_text").dropDuplicates(["query_id"])
@@ -69,10 +74,10 @@ A_SQL = bm25_sql("lexical", 100, True, False, True, "alist")
 B_SQL = bm25_sql("bigram", 100, False, True, False, "blist", "concat_ws(' ', name, name, description)")
 
 
-def lexical_hits(spark, sf_dir, k: int = 100, pad: bool = True, requests: DataFrame | None = None, docs: DataFrame | None = None, carry: list[str] = (), bring: list[str] = ()) -> DataFrame:
+def lexical_hits(spark, sf_dir, k: int = 100, pad: bool = True, requests: DataFrame | None = None, docs: DataFrame | None = None, carry: list[str] = (), bring: list[str] = (), others: int = 0) -> DataFrame:
     requests = requests_view(spark, sf_dir) if requests is None else requests
     docs = skills_view(spark, sf_dir) if docs is None else docs
-    return lexical.bm25(requests, "query_id", text.lexical_tokens("instruction_text"), docs, "skill_id", text.lexical_tokens("t"), k, pad=pad, carry=carry, bring=bring)
+    return lexical.bm25(requests, "query_id", text.lexical_tokens("instruction_text"), docs, "skill_id", text.lexical_tokens("t"), k, pad=pad, carry=carry, bring=bring, others=others)
 
 
 def adaptive_hits(spark, sf_dir, k: int = 100) -> DataFrame:
@@ -229,24 +234,18 @@ def reranker_candidates(spark, sf_dir):
 @query()
 def hard_negatives(spark, sf_dir):
     """Seven hard negatives from a request's fifty best hits and three others, drawn
-    by hash among all records outside these hits (the same every time)."""
+    among all records outside these hits (the same every time)."""
     # Name and hashed grams come with request and record, so no hit is shuffled before the seven are chosen.
-    docs = skills_view(spark, sf_dir).withColumn("_g", F.transform(text.grams(text.lexical_tokens("t"), 3), lambda g: F.xxhash64(g)))
+    docs = whole_view(spark, sf_dir).withColumn("_g", F.transform(text.grams(text.lexical_tokens("t"), 3), lambda g: F.xxhash64(g)))
     asked = requests_view(spark, sf_dir).withColumnRenamed("skill_id", "gold").join(docs.select(F.col("skill_id").alias("gold"), F.col("name").alias("_pn"), F.col("_g").alias("_pg")), "gold")
-    gold = asked.select("query_id", "gold")
-    hits = lexical_hits(spark, sf_dir, 50, pad=False, requests=asked, docs=docs, carry=["gold", "_pn", "_pg"], bring=["name", "_g"])
-    pairs = hits.filter("skill_id <> gold").withColumnRenamed("name", "_n")
+    # One more is drawn than is wanted, for the gold record may be drawn.
+    rows = lexical_hits(spark, sf_dir, 50, pad=False, requests=asked, docs=docs, carry=["gold", "_pn", "_pg"], bring=["name", "_g"], others=4)
+    rows = rows.filter("skill_id <> gold").withColumnRenamed("name", "_n")
     prefix = (F.length("_n") > 5) & (F.length("_pn") > 5) & (F.lower(F.left("_n", F.lit(5))) == F.lower(F.left("_pn", F.lit(5))))
     hidden = (text.jaccard(F.col("_g"), F.col("_pg")) > 0.6) | F.coalesce(prefix, F.lit(False))
-    hard = records.top_per_key(pairs.filter(~hidden).select("query_id", "skill_id", F.col("rank").alias("_r")), ["query_id"], [F.col("_r")], 7, "place").select("query_id", "skill_id", F.lit("hard").alias("kind"))
-    # Records in hash order have places; a request takes places from its own hash onwards.
-    # 64 more places than the hits cover are looked at, so three are always left.
-    numbered = docs.select("skill_id").withColumn("_p", F.pmod(F.xxhash64("skill_id", F.lit(11)), F.lit(1 << 20)))
-    slots = numbered.groupBy(F.floor(F.col("_p") / 4096).alias("_slot")).agg(F.slice(F.array_sort(F.collect_list("skill_id")), 1, 128).alias("_ids"))
-    drawn = gold.withColumn("_slot", F.pmod(F.xxhash64("query_id"), F.lit(256))).join(slots, "_slot").select("query_id", "gold", F.explode("_ids").alias("skill_id"))
-    drawn = drawn.filter("skill_id <> gold").join(hits.select("query_id", "skill_id"), ["query_id", "skill_id"], "left_anti")
-    random = records.top_per_key(drawn, ["query_id"], [F.xxhash64("query_id", "skill_id"), F.col("skill_id")], 3, "place").select("query_id", "skill_id", F.lit("random").alias("kind"))
-    return hard.unionByName(random)
+    kind = F.when(F.col("other").isNull(), "hard").otherwise("random")
+    chosen = rows.filter(F.col("other").isNotNull() | ~hidden).select("query_id", "skill_id", kind.alias("kind"), F.coalesce("other", "rank").alias("_r"))
+    return records.top_per_key(chosen, ["query_id", "kind"], [F.col("_r")], 7, "place").filter("kind = 'hard' OR place <= 3").select("query_id", "skill_id", "kind")
 
 
 @query(f"""WITH {VIEW_SQL}, s AS (SELECT skill_id, unnest(list_filter(list_transform(string_split(regexp_replace(body, '\\n(#{{1,3}} )', chr(1) || '\\1', 'g'), chr(1)), lambda x: trim(x)), lambda x: length(x) >= 200)) AS section FROM now WHERE NOT deleted)
