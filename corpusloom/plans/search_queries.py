@@ -96,7 +96,7 @@ def both_hits(spark, sf_dir, k: int = 100, pad: bool = True, bring: list[str] =
 @query(f"WITH {VIEW_SQL}, {bm25_sql('lexical', 10, True, False, True, 'alist')} SELECT query_id, skill_id, score, rank FROM alist")
 def bm25_lexical_top10(spark, sf_dir):
     """Ten best records of every request; records without any of its terms fill up with score 0."""
-    return lexical_hits(spark, sf_dir, 10)
+    return lexical_hits(spark, sf_dir, 10, docs=whole_view(spark, sf_dir))
 
 
 @query(f"""WITH {VIEW_SQL}, {bm25_sql('bigram', 10, False, True, False, 'blist', "concat_ws(' ', name, name, description)")} SELECT query_id, skill_id, score, rank FROM blist""")

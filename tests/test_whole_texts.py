@@ -40,3 +40,8 @@ def test_others_are_all_that_is_left_where_few_are(spark, n, want):
     rows = lexical.bm25(spark.createDataFrame([("q", "w")], "q string, t string"), "q", words, docs, "d", words, 3, others=4).collect()
     assert sorted(r.d for r in rows if r.other is None) == ["d00"]
     assert sorted(r.other for r in rows if r.other is not None) == list(range(1, want + 1)) and len({r.d for r in rows}) == want + 1
+
+
+def test_bm25_lexical_top10(spark, folder):
+    best = QUERIES["bm25_lexical_top10"](spark, folder).filter("query_id = 'q0' AND score > 0").collect()
+    assert [(r.skill_id, r["rank"]) for r in best] == [("d55", 1)]
