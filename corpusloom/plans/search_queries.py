@@ -177,7 +177,7 @@ def _metrics(spark, sf_dir) -> DataFrame:
     known = ranker.kept(asked.join(skills_view(spark, sf_dir).select("skill_id"), "skill_id", "left_semi"))
     gold = known.select("query_id", "skill_id", F.lit(1.0).alias("gain"))
     # Of a request's fifty hits only the gold record counts, so the others end where they were found.
-    hits = lexical_hits(spark, sf_dir, 50, requests=known.withColumnRenamed("skill_id", "gold"), carry=["gold"]).filter("skill_id = gold").drop("gold")
+    hits = lexical_hits(spark, sf_dir, 50, requests=known.withColumnRenamed("skill_id", "gold"), docs=whole_view(spark, sf_dir), carry=["gold"]).filter("skill_id = gold").drop("gold")
     got = rankings.per_request(known, hits, gold, "query_id", "skill_id")
     return got.join(known.select("query_id", F.coalesce(F.nullif(F.trim("category"), F.lit("")), F.lit("all")).alias("group")), "query_id")
 

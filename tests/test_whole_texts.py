@@ -45,3 +45,8 @@ def test_others_are_all_that_is_left_where_few_are(spark, n, want):
 def test_bm25_lexical_top10(spark, folder):
     best = QUERIES["bm25_lexical_top10"](spark, folder).filter("query_id = 'q0' AND score > 0").collect()
     assert [(r.skill_id, r["rank"]) for r in best] == [("d55", 1)]
+
+
+def test_ir_metrics(spark, folder):
+    row = QUERIES["ir_metrics"](spark, folder).filter("query_id = 'q0'").first()
+    assert (row.hit_1, row.mrr_10, row.recall_50) == (1.0, 1.0, 1.0)
