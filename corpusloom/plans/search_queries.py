@@ -90,7 +90,7 @@ def both_hits(spark, sf_dir, k: int = 100, pad: bool = True, bring: list[str] =
     """The adaptive (0) and the lexical (1) hits side by side; records are read once for both."""
     short = ranker.Channel(text.bigram_tokens("instruction_text"), text.bigram_tokens(F.concat_ws(" ", "name", "name", "description")), k, repeated=True, stop_share=0.5)
     whole = ranker.Channel(text.lexical_tokens("instruction_text"), text.lexical_tokens("t"), k, pad=pad)
-    return ranker.search(requests_view(spark, sf_dir), "query_id", skills_view(spark, sf_dir), "skill_id", [short, whole], bring=bring, fuse=fuse)
+    return ranker.search(requests_view(spark, sf_dir), "query_id", whole_view(spark, sf_dir), "skill_id", [short, whole], bring=bring, fuse=fuse)
 
 
 @query(f"WITH {VIEW_SQL}, {bm25_sql('lexical', 10, True, False, True, 'alist')} SELECT query_id, skill_id, score, rank FROM alist")

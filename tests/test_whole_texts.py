@@ -56,3 +56,7 @@ def test_macro_mrr(spark, folder):
     """One category: the mean of the requests, the one that only the end of a body answers included."""
     asked = QUERIES["ir_metrics"](spark, folder).agg(F.round(100 * F.avg("recall_10"), 2), F.round(100 * F.avg("mrr_10"), 2), F.round(100 * F.avg("hit_1"), 2)).first()
     assert tuple(QUERIES["macro_mrr"](spark, folder).first()) == (1, *asked) and asked[0] == 100.0
+
+
+def test_rank_fusion(spark, folder):
+    assert QUERIES["rank_fusion"](spark, folder).filter("query_id = 'q0' AND rank = 1").first().skill_id == "d55"
