@@ -60,3 +60,7 @@ def test_macro_mrr(spark, folder):
 
 def test_rank_fusion(spark, folder):
     assert QUERIES["rank_fusion"](spark, folder).filter("query_id = 'q0' AND rank = 1").first().skill_id == "d55"
+
+
+def test_score_fusion(spark, folder):
+    assert QUERIES["score_fusion"](spark, folder).filter("query_id = 'q0' AND rank = 1").first().skill_id == "d55"
