@@ -64,3 +64,8 @@ def test_rank_fusion(spark, folder):
 
 def test_score_fusion(spark, folder):
     assert QUERIES["score_fusion"](spark, folder).filter("query_id = 'q0' AND rank = 1").first().skill_id == "d55"
+
+
+def test_weighted_rrf(spark, folder):
+    got = QUERIES["weighted_rrf"](spark, folder).filter("query_id = 'q0'").collect()
+    assert [(r.item, r.sources, r["rank"]) for r in got] == [("d55", "local", 1)]
