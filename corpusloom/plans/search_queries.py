@@ -76,7 +76,7 @@ B_SQL = bm25_sql("bigram", 100, False, True, False, "blist", "concat_ws(' ', nam
 
 def lexical_hits(spark, sf_dir, k: int = 100, pad: bool = True, requests: DataFrame | None = None, docs: DataFrame | None = None, carry: list[str] = (), bring: list[str] = (), others: int = 0) -> DataFrame:
     requests = requests_view(spark, sf_dir) if requests is None else requests
-    docs = skills_view(spark, sf_dir) if docs is None else docs
+    docs = whole_view(spark, sf_dir) if docs is None else docs
     return lexical.bm25(requests, "query_id", text.lexical_tokens("instruction_text"), docs, "skill_id", text.lexical_tokens("t"), k, pad=pad, carry=carry, bring=bring, others=others)
 
 
@@ -220,7 +220,7 @@ def reranker_candidates(spark, sf_dir):
     best other hits that are no hidden positives (same name, or descriptions with
     more than 0.6 of their letter trigrams in common)."""
     # Names and trigrams come with request and record, so no hit is shuffled before the nine are chosen.
-    docs = skills_view(spark, sf_dir).withColumn("_g", text.char_grams(F.coalesce("description", F.lit(""))))
+    docs = whole_view(spark, sf_dir).withColumn("_g", text.char_grams(F.coalesce("description", F.lit(""))))
     asked = requests_view(spark, sf_dir).withColumnRenamed("skill_id", "gold").join(docs.select(F.col("skill_id").alias("gold"), F.col("name").alias("_pn"), F.col("_g").alias("_pg")), "gold")
     pairs = lexical_hits(spark, sf_dir, 20, pad=False, requests=asked, docs=docs, carry=["gold", "_pn", "_pg"], bring=["name", "_g"]).filter("skill_id <> gold")
     hidden = F.coalesce(F.lower("name") == F.lower("_pn"), F.lit(False)) | (text.jaccard(F.col("_g"), F.col("_pg")) > 0.6)

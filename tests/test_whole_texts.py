@@ -14,7 +14,7 @@ def folder(spark, tmp_path_factory):
     """Sixty records; only the last words of a body of more than 8,000 characters (d55) answer q0."""
     at = tmp_path_factory.mktemp("tables")
     long = "filler words again " * 600 + "zebrafish genome"
-    skills = [(f"d{i:02}", f"name{i:02}", f"about topic{i:02}", long if i == 55 else f"text of topic{i:02}", None, "c", "s", False, None) for i in range(60)]
+    skills = [(f"d{i:02}", f"name{i:02}", "elsewhere" if i == 55 else f"about topic{i:02}", long if i == 55 else f"text of topic{i:02}", None, "c", "s", False, None) for i in range(60)]
     spark.createDataFrame(skills, "skill_id string, name string, description string, body string, tags string, category string, source string, deleted boolean, updated_at timestamp").write.parquet(f"{at}/skills.parquet")
     requests = [("q0", "d55", "c", "zebrafish genome"), *[(f"q{i:02}", f"d{i % 50:02}", "c", f"zebrafish topic{i % 50:02}") for i in range(1, 200)]]
     spark.createDataFrame(requests, "query_id string, skill_id string, category string, instruction_text string").write.parquet(f"{at}/match_queries.parquet")
@@ -69,3 +69,9 @@ def test_score_fusion(spark, folder):
 def test_weighted_rrf(spark, folder):
     got = QUERIES["weighted_rrf"](spark, folder).filter("query_id = 'q0'").collect()
     assert [(r.item, r.sources, r["rank"]) for r in got] == [("d55", "local", 1)]
+
+
+def test_reranker_candidates(spark, folder):
+    """A record that answers by the end of its body is a candidate of the other requests."""
+    got = QUERIES["reranker_candidates"](spark, folder).filter("query_id = 'q07'").collect()
+    assert sorted((r.place, r.skill_id, r.positive) for r in got) == [(0, "d07", True), (1, "d55", False)]
